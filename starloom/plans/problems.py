@@ -300,13 +300,13 @@ SQL["p5_found"] = f"WITH {_VALUES} SELECT entity, alternate_key, valid_from, val
 
 def _versions_sql(table: str, key: str, at: str, columns: dict[str, str]) -> str:
     filled = ", ".join(f"last_value({c} IGNORE NULLS) OVER w AS {c}" for c in columns)
-    changed = " OR ".join(f"lag({c}) OVER w IS DISTINCT FROM {c}" for c in columns)
+    changed = " OR ".join(f"lag({c}) OVER (PARTITION BY {key} ORDER BY tm) IS DISTINCT FROM {c}" for c in columns)
     order = ", ".join(f"{x} DESC NULLS LAST" for x in columns.values())
     return f"""
 WITH one AS (SELECT {key}, {at}::TIMESTAMP AS tm, {', '.join(f'{x} AS {c}' for c, x in columns.items())} FROM {table} WHERE {key} IS NOT NULL AND {at} IS NOT NULL
   QUALIFY row_number() OVER (PARTITION BY {key}, {at} ORDER BY _loaded_at DESC, {order}) = 1),
 f AS (SELECT {key}, tm, {filled} FROM one WINDOW w AS (PARTITION BY {key} ORDER BY tm)),
-c AS (SELECT * FROM f QUALIFY {changed} WINDOW w AS (PARTITION BY {key} ORDER BY tm))
+c AS (SELECT * FROM f QUALIFY {changed})
 SELECT {key}::BIGINT AS {key}, {', '.join(columns)}, tm AS valid_from, coalesce(lead(tm) OVER (PARTITION BY {key} ORDER BY tm), TIMESTAMP '2106-01-01') AS valid_to FROM c"""
 
 
