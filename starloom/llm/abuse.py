@@ -29,16 +29,18 @@ from pyspark.sql import functions as F
 
 from starloom.sources.tables import Scratch
 
-WINDOW = 14
+WINDOW = 14  #: tokens of a training window
+WINDOWS = (5, 9, WINDOW)  #: lengths of the windows that are scored
+BIAS = -3.0  #: log-odds of a window without known features; fixed, as the sample's classes aren't those of the corpus
 BITS = 20
 SAMPLE_DOCS = 4_000  #: expected number of documents whose windows may be used for training
 TRAIN_WINDOWS = 40_000  #: most windows sent to the driver
 THRESHOLD = 0.5
-POSITIVE = 3.0
+POSITIVE = 2.0
 MARGIN = 3.0
 OTHERS = 0.03  #: share of windows without listed words that are used
-MINING = 3  #: rounds of adding windows the model gets wrong
-HARD = 0.1  #: score from which a window is worth learning
+MINING = 6  #: rounds of adding windows the model gets wrong
+HARD = 0.15  #: score from which a window is worth learning
 CACHE = 200_000  #: chunks a worker remembers
 SEED = 10
 OVERLAP = WINDOW + 3
@@ -279,28 +281,27 @@ class Ftrl:
 
     def __init__(self, alpha: float = 0.3, beta: float = 1.0, l1: float = 1.0, l2: float = 0.1) -> None:
         self.alpha, self.beta, self.l2 = alpha, beta, l2
-        self.l1 = np.full((1 << BITS) + 1, l1)
-        self.l1[-1] = 0.0  # the bias is free
-        self.z = np.zeros((1 << BITS) + 1)  # the last one is the bias
-        self.n = np.zeros((1 << BITS) + 1)
+        self.l1 = l1
+        self.z = np.zeros(1 << BITS)
+        self.n = np.zeros(1 << BITS)
 
     def weights(self, i: np.ndarray | slice) -> np.ndarray:
-        z, l1 = self.z[i], self.l1[i]
+        z, l1 = self.z[i], self.l1
         w = -(z - np.sign(z) * l1) / ((self.beta + np.sqrt(self.n[i])) / self.alpha + self.l2)
         return np.where(np.abs(z) <= l1, 0.0, w)
 
     def learn(self, i: np.ndarray, label: int, importance: float) -> None:
         w = self.weights(i)
-        p = 1 / (1 + np.exp(-np.clip(w.sum(), -30, 30)))
+        p = 1 / (1 + np.exp(-np.clip(w.sum() + BIAS, -30, 30)))
         g = (p - label) * importance
         sigma = (np.sqrt(self.n[i] + g * g) - np.sqrt(self.n[i])) / self.alpha
         self.z[i] += g - sigma * w
         self.n[i] += g * g
 
-    def model(self) -> tuple[np.ndarray, np.ndarray, float]:
+    def model(self) -> tuple[np.ndarray, np.ndarray]:
         w = self.weights(slice(None))
-        at = np.flatnonzero(w[:-1])
-        return at.astype(np.int32), w[at].astype(np.float32), float(w[-1])
+        at = np.flatnonzero(w)
+        return at.astype(np.int32), w[at].astype(np.float32)
 
 
 # Labels
@@ -397,8 +398,8 @@ def hard_window(reader: Reader, score, text: str) -> str | None:
     words = reader.words(text)
     if not words or CUES.search(" ".join(words)):
         return None
-    end = score([text], ends=True)[0]
-    return None if end < 0 else " ".join(words[max(0, end + 1 - OVERLAP) : end + 1])
+    end, length = score([text], ends=True)[0]
+    return None if end < 0 else " ".join(words[end + 1 - length : end + 1])
 
 
 def sample_of(documents: DataFrame, total: int, sample_docs: int = SAMPLE_DOCS) -> DataFrame:
@@ -452,27 +453,27 @@ class Trainer:
         for text, label in windows:
             t = np.array([token_hash(w) for w in text.split()], np.int64)
             f = np.unique(features(t, np.arange(len(t))))
-            self.x.append(np.append(f[f >= 0], 1 << BITS))
+            self.x.append(f[f >= 0])
             self.y.append(label)
 
-    def learn(self, passes: int = 6) -> tuple[np.ndarray, np.ndarray, float]:
+    def learn(self, passes: int = 6) -> tuple[np.ndarray, np.ndarray]:
         """Learn from the windows the model gets wrong, or right by less than MARGIN; abusive ones count POSITIVE times.
 
-        Returns the non-zero weights: positions, values and bias.
+        Returns the non-zero weights: positions and values.
         """
         sign = 2 * np.array(self.y) - 1
         flat, starts = np.concatenate(self.x), np.cumsum([0] + [len(x) for x in self.x[:-1]])
         for _ in range(passes):
-            margin = sign * np.add.reduceat(self.ftrl.weights(flat), starts)
+            margin = sign * (np.add.reduceat(self.ftrl.weights(flat), starts) + BIAS)
             wrong = np.flatnonzero(margin < MARGIN)
             for i in self.order.permutation(wrong):
                 self.ftrl.learn(self.x[i], self.y[i], POSITIVE if self.y[i] else 1.0)
         return self.ftrl.model()
 
 
-def scorer(model: tuple[np.ndarray, np.ndarray, float]):
+def scorer(model: tuple[np.ndarray, np.ndarray]):
     """A function from texts to scores in 0 .. 1."""
-    at, values, bias = model
+    at, values = model
     weights = np.zeros((1 << BITS) + 1, np.float32)  # the last one stands for features that are not there
     weights[at] = values
     reader = Reader()
@@ -485,16 +486,18 @@ def scorer(model: tuple[np.ndarray, np.ndarray, float]):
         gain = weights[features(tokens, place)].sum(1).astype(np.float64)
         total = np.concatenate(([0.0], np.cumsum(gain)))
         ends = np.arange(1, len(tokens) + 1)
-        window = total[ends] - total[ends - np.minimum(place + 1, WINDOW)]
+        each = np.stack([total[ends] - total[ends - np.minimum(place + 1, n)] for n in WINDOWS])
+        window = each.max(0)
         # a continued piece begins with tokens whose windows the piece before has scored
         window[np.repeat([p[1] for p in pieces], sizes) & (place < OVERLAP)] = -np.inf
         np.maximum.at(best, [p[0] for p in pieces], np.maximum.reduceat(window, starts))
         if len(pieces) == 1:
-            end[pieces[0][0]] = int(window.argmax())
+            last = int(window.argmax())
+            end[pieces[0][0]] = last, min(WINDOWS[int(each[:, last].argmax())], last + 1)
 
     def score(texts: list[str | None], ends: bool = False) -> np.ndarray:
-        """Scores; or, of single short texts, the last token of the worst window, -1 if its score is low."""
-        best, end = np.full(len(texts), -np.inf), np.full(len(texts), -1, np.int64)
+        """Scores; or, of single short texts, last token and length of the worst window, -1 if its score is low."""
+        best, end = np.full(len(texts), -np.inf), np.full((len(texts), 2), -1, np.int64)
         pieces, size = [], 0
         for i, t in enumerate(texts):
             read = reader.read(t) if t else EMPTY
@@ -507,17 +510,17 @@ def scorer(model: tuple[np.ndarray, np.ndarray, float]):
                     pieces, size = [], 0
         if pieces:
             block(pieces, best, end)
-        out = np.where(np.isinf(best), 0.0, 1 / (1 + np.exp(-np.clip(best + bias, -30, 30))))
-        return np.where((out > HARD) & (np.array([len(t or "") for t in texts]) < 5 * BLOCK), end, -1) if ends else out
+        out = np.where(np.isinf(best), 0.0, 1 / (1 + np.exp(-np.clip(best + BIAS, -30, 30))))
+        return np.where((out > HARD)[:, None] & (np.array([len(t or "") for t in texts]) < BLOCK)[:, None], end, -1) if ends else out
 
     return score
 
 
-def fit(spark: SparkSession, documents: DataFrame) -> tuple[np.ndarray, np.ndarray, float]:
+def fit(spark: SparkSession, documents: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     """Train on windows of a bounded sample; then add the windows the model gets wrong there, MINING times."""
     sample = Scratch(spark).put(sample_of(documents, documents.count()))
     trainer = Trainer()
-    trainer.add([(w, 1) for w in _STRONG] * 2 + training_windows(sample))
+    trainer.add([(w, 1) for w in _STRONG] + training_windows(sample))
     model = trainer.learn()
     for k in range(MINING):
         part = sample.filter(F.pmod(F.xxhash64("doc_id", F.lit(SEED + 1)), F.lit(MINING)) == k)
@@ -526,7 +529,7 @@ def fit(spark: SparkSession, documents: DataFrame) -> tuple[np.ndarray, np.ndarr
     return model
 
 
-def scores(spark: SparkSession, documents: DataFrame, model: tuple[np.ndarray, np.ndarray, float]) -> DataFrame:
+def scores(spark: SparkSession, documents: DataFrame, model: tuple[np.ndarray, np.ndarray]) -> DataFrame:
     """doc_id, source, score: every document, its whole text.  Null and empty texts score 0."""
     shared = spark.sparkContext.broadcast(model)
 
