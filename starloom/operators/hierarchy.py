@@ -19,7 +19,7 @@ are known, so a cycle of any length costs no more than a chain.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from starloom.sources.tables import Scratch
@@ -37,11 +37,8 @@ def _double(table: DataFrame, scratch: Scratch, carried: list[str]) -> DataFrame
     table: id, ptr, hops, low (least id met), done and the ``carried`` columns, which a row takes
     from the done row it meets.  ``path``, where carried, is put together instead.
     """
-    steps, open_rows = 1, None
-    while True:
-        found = table.filter(~F.col("done")).count()
-        if found == 0 or (found == open_rows and steps >= found):
-            return table
+    steps, open_rows, found = 1, None, table.filter(~F.col("done")).count()
+    while found and not (found == open_rows and steps >= found):
         open_rows = found
         there = table.select(*(F.col(c).alias(f"__sl_{c}") for c in ["id", "ptr", "hops", "low", "done", *carried]))
         moved = table.filter(~F.col("done")).join(there, F.col("ptr") == F.col("__sl_id"), "left")
@@ -53,9 +50,12 @@ def _double(table: DataFrame, scratch: Scratch, carried: list[str]) -> DataFrame
             F.col("__sl_done").alias("done"),
             *(F.concat("path", "__sl_path").alias("path") if c == "path" else F.col(f"__sl_{c}").alias(c) for c in carried),
         )
-        new = scratch.put(table.filter("done").unionByName(moved))
+        seen = Observation()
+        new = table.filter("done").unionByName(moved).observe(seen, F.count_if(~F.col("done")).alias("left"))
+        new = scratch.put(new)
         scratch.drop(table)
-        table, steps = new, steps * 2
+        table, steps, found = new, steps * 2, seen.get["left"]
+    return table
 
 
 def _with_cycles(table: DataFrame) -> DataFrame:

@@ -73,6 +73,12 @@ class Scratch:
             pass
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """df in at least as many partitions as there are cores: one small file would else keep a single Python worker busy."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def bounded(df: DataFrame, rows: int) -> bool:
     """Whether df has at most so many rows; reads no more of it than needed to tell."""
     return len(df.select(*df.columns[:1]).limit(rows + 1).toArrow()) <= rows
