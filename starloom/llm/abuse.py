@@ -26,6 +26,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from starloom.sources.tables import Scratch
 
@@ -34,6 +35,7 @@ WINDOWS = (5, 9, WINDOW)  #: lengths of the windows that are scored
 BIAS = -3.0  #: log-odds of a window without known features; fixed, as the sample's classes aren't those of the corpus
 BITS = 20
 SAMPLE_DOCS = 4_000  #: expected number of documents whose windows may be used for training
+SAMPLE_TASKS = 16
 TRAIN_WINDOWS = 40_000  #: most windows sent to the driver
 THRESHOLD = 0.5
 POSITIVE = 2.0
@@ -406,7 +408,7 @@ def sample_of(documents: DataFrame, total: int, sample_docs: int = SAMPLE_DOCS)
     """A hash sample of about sample_docs documents with a text, whole."""
     share = min(1.0, sample_docs / max(1, total))
     u = F.shiftrightunsigned(F.xxhash64("doc_id", F.lit(SEED)), 11).cast("double") * F.lit(2.0**-53)
-    return documents.filter((u < share) & F.col("text").isNotNull()).select("doc_id", "text")
+    return documents.filter((u < share) & F.col("doc_id").isNotNull() & F.col("text").isNotNull()).select("doc_id", "text")
 
 
 def _bounded(windows: DataFrame, most: int) -> list[tuple[str, int]]:
@@ -518,7 +520,7 @@ def scorer(model: tuple[np.ndarray, np.ndarray]):
 
 def fit(spark: SparkSession, documents: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     """Train on windows of a bounded sample; then add the windows the model gets wrong there, MINING times."""
-    sample = Scratch(spark).put(sample_of(documents, documents.count()))
+    sample = Scratch(spark).put(sample_of(documents, documents.count()).repartition(SAMPLE_TASKS, "doc_id"))  # a bounded number of rows
     trainer = Trainer()
     trainer.add([(w, 1) for w in _STRONG] + training_windows(sample))
     model = trainer.learn()
@@ -533,12 +535,13 @@ def scores(spark: SparkSession, documents: DataFrame, model: tuple[np.ndarray, n
     """doc_id, source, score: every document, its whole text.  Null and empty texts score 0."""
     shared = spark.sparkContext.broadcast(model)
 
-    def scored(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def scored(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         score = scorer(shared.value)
-        for b in batches:
-            yield pd.DataFrame({"doc_id": b["doc_id"], "source": b["source"], "score": score(b["text"].tolist())})
+        for texts in batches:
+            yield pd.Series(score(texts.tolist()), dtype="float64")
 
-    return documents.select("doc_id", "source", "text").mapInPandas(scored, "doc_id bigint, source string, score double")
+    scored.__annotations__ = {"batches": Iterator[pd.Series], "return": Iterator[pd.Series]}
+    return documents.select("doc_id", "source", F.pandas_udf(scored, T.DoubleType())("text").alias("score"))
 
 
 def rates(scored: DataFrame, threshold: float = THRESHOLD) -> DataFrame:

@@ -63,7 +63,7 @@ def mix(spark: SparkSession, counts: DataFrame, plan: DataFrame, seed: int = SEE
     half a document.  Documents without tokens are drawn in complete epochs only.
     """
     p = plan.filter(F.col("budget") > 0).select("source", "epochs", "rest")
-    d = counts.join(F.broadcast(p), "source").withColumn("__sl_key", key(F.col("doc_id"), F.col("weight"), seed))
+    d = counts.select("doc_id", "source", "tokens", "weight").join(F.broadcast(p), "source").withColumn("__sl_key", key(F.col("doc_id"), F.col("weight"), seed))
     # 1 - exp(-key) spreads keys of weight 1 evenly
     bucket = F.floor((1 - F.exp(-F.col("__sl_key"))) * KEY_BUCKETS)
     d = running_sum(d, ["source"], ["__sl_key", "doc_id"], "tokens", "__sl_sum", bucket)

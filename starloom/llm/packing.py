@@ -11,8 +11,6 @@ go to packs c .. c + n - 1.  Documents are ranked within their length and find t
 from __future__ import annotations
 
 import heapq
-from collections.abc import Iterator
-
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
@@ -23,6 +21,7 @@ from starloom.operators.ordering import rank_within
 
 
 ROWS_A_BUCKET = 200_000
+BIG = np.int64(1) << 40
 SIZES = 100  #: most container sizes packed at once
 
 
@@ -67,7 +66,7 @@ def items_of(counts: DataFrame, capacities: DataFrame) -> DataFrame:
     if not sizes:
         sizes = [("", 0)]
     every = F.array(*(F.struct(F.lit(n).alias("container_name"), F.lit(k).cast("bigint").alias("capacity")) for n, k in sizes))
-    d = counts.filter(F.col("tokens") > 0).withColumn("__sl_c", F.explode(every)).select("*", "__sl_c.*").filter(F.col("capacity") > 0)
+    d = counts.select("doc_id", "tokens").filter(F.col("tokens") > 0).withColumn("__sl_c", F.explode(every)).select("*", "__sl_c.*").filter(F.col("capacity") > 0)
     d = d.withColumn("piece", F.explode(F.sequence(F.lit(0), F.floor((F.col("tokens") - 1) / F.col("capacity")).cast("int"))))
     start = F.col("piece") * F.col("capacity")
     return d.select("container_name", "capacity", "doc_id", "piece", start.alias("start_token"), F.least("capacity", F.col("tokens") - start).alias("tokens"))
@@ -92,22 +91,19 @@ def pack(spark: SparkSession, counts: DataFrame, capacities: DataFrame) -> DataF
     buckets = max(8, -(-total // ROWS_A_BUCKET))
     ranked = items.withColumn("__sl_item", F.concat_ws("|", "doc_id", "piece"))
     ranked = rank_within(ranked, ["container_name", "tokens"], "__sl_item", "__sl_rank", buckets)
-    columns = ["container_name", "doc_id", "piece", "start_token", "tokens"]
-
-    def place(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for b in batches:
-            no = np.empty(len(b), np.int64)
-            for name, at in b.groupby("container_name").indices.items():
-                r = shared.value[name]
-                length, rank = b["tokens"].to_numpy(np.int64)[at], b["__sl_rank"].to_numpy(np.int64)[at]
-                # rules are sorted by (length, first rank); the last one not beyond (length, rank) holds it
-                big = np.int64(1) << 40
-                i = np.searchsorted(r[:, 0] * big + r[:, 1], length * big + rank, side="right") - 1
-                no[at] = r[i, 3] + rank - r[i, 1]
-            yield b[columns].assign(container_no=no)
-
-    schema = T.StructType([ranked.schema[c] for c in columns] + [T.StructField("container_no", T.LongType())])
-    return ranked.select(*columns, "__sl_rank").mapInPandas(place, schema).select("container_name", "container_no", "doc_id", "piece", "start_token", "tokens")
+
+    def place(names: pd.Series, lengths: pd.Series, ranks: pd.Series) -> pd.Series:
+        no = np.empty(len(names), np.int64)
+        for name, at in names.groupby(names).indices.items():
+            r = shared.value[name]
+            length, rank = lengths.to_numpy(np.int64)[at], ranks.to_numpy(np.int64)[at]
+            # rules are sorted by (length, first rank); the last one not beyond (length, rank) holds it
+            i = np.searchsorted(r[:, 0] * BIG + r[:, 1], length * BIG + rank, side="right") - 1
+            no[at] = r[i, 3] + rank - r[i, 1]
+        return pd.Series(no)
+
+    no = F.pandas_udf(place, T.LongType())("container_name", "tokens", "__sl_rank").alias("container_no")
+    return ranked.select("container_name", no, "doc_id", "piece", "start_token", "tokens")
 
 
 def fill(packed: DataFrame, capacities: DataFrame) -> DataFrame:

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from starloom.llm import abuse, mixing, packing, tokens
-from starloom.sources.tables import Scratch, load
+from starloom.sources.tables import Scratch, load, spread
 
 QUERIES: dict = {}
 SQL: dict[str, str] = {}
@@ -21,7 +21,7 @@ def _counts(spark: SparkSession, sf_dir: str, weight: bool = False) -> DataFrame
     """doc_id, source, tokens (and weight) of every document, written once and read by what follows."""
     d = load(spark, sf_dir, "documents")
     extra = [mixing.quality(F.col("text")).alias("weight")] if weight else []
-    return Scratch(spark).put(tokens.token_counts(spark, d.select("doc_id", F.rtrim("source").alias("source"), *extra, "text")))
+    return Scratch(spark).put(tokens.token_counts(spark, spread(d.select("doc_id", F.rtrim("source").alias("source"), *extra, "text"))))
 
 
 # 8. Filling fixed-capacity containers with items
@@ -66,7 +66,7 @@ def p9_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _scored(spark: SparkSession, sf_dir: str) -> DataFrame:
     d = load(spark, sf_dir, "documents").select("doc_id", "source", "text")
-    return abuse.scores(spark, d, abuse.fit(spark, d))
+    return abuse.scores(spark, spread(d), abuse.fit(spark, d))
 
 
 @query
