@@ -24,9 +24,9 @@ NO_DATE = 190001  # period of references without a date (fixed value)
 def encode(values: DataFrame, column: str, buckets: int = 64) -> DataFrame:
     """column and code: each text its own integer, dense within hash buckets.  Null has none."""
     d = values.select(column).filter(F.col(column).isNotNull()).distinct()
-    d = d.withColumn("__sl_b", F.pmod(F.xxhash64(column), F.lit(buckets)).cast("bigint"))
-    d = rank_within(d, ["__sl_b"], column, "__sl_r", 1)
-    return d.select(column, (F.col("__sl_r") * buckets + F.col("__sl_b")).alias("code"))
+    d = d.withColumn("__sl_part", F.pmod(F.xxhash64(column), F.lit(buckets)).cast("bigint"))
+    d = rank_within(d, ["__sl_part"], column, "__sl_r", 1)
+    return d.select(column, (F.col("__sl_r") * buckets + F.col("__sl_part")).alias("code"))
 
 
 def _month(c: Column) -> Column:

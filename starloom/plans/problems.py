@@ -64,7 +64,7 @@ def p1_subordinates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 _MANAGERS = """
 standing AS (SELECT * FROM dim_employees QUALIFY row_number() OVER (PARTITION BY employee_alternate_key, start_date ORDER BY _version DESC) = 1),
-cur AS (SELECT employee_alternate_key::BIGINT AS id, reports_to, parent_employee_key FROM standing WHERE end_date = TIMESTAMP '2106-01-01 00:00:00'),
+cur AS (SELECT employee_alternate_key::BIGINT AS id, reports_to, parent_employee_key FROM standing WHERE end_date = TIMESTAMP '2106-01-01 00:00:00' AND employee_alternate_key IS NOT NULL),
 owner AS (SELECT employee_key, min(employee_alternate_key)::BIGINT AS alt FROM dim_employees WHERE employee_key <> 0 GROUP BY employee_key),
 raw AS (SELECT c.id, coalesce(nullif(c.reports_to, 0), o.alt) AS parent FROM cur c LEFT JOIN owner o ON o.employee_key = c.parent_employee_key),
 links AS (SELECT r.id, k.id AS parent FROM raw r LEFT JOIN cur k ON k.id = r.parent)"""
