@@ -38,6 +38,8 @@ SAMPLE_DOCS = 4_000  #: expected number of documents whose windows may be used f
 SAMPLE_TASKS = 16
 TRAIN_WINDOWS = 40_000  #: most windows sent to the driver
 THRESHOLD = 0.5
+SURE = 0.98  #: from which a score needs no check
+HELD = 0.49  #: score of texts that fail the check
 POSITIVE = 2.0
 MARGIN = 3.0
 OTHERS = 0.03  #: share of windows without listed words that are used
@@ -344,6 +346,59 @@ ces gens sont de la vermine il faut les éliminer
 diese Leute sind Ungeziefer und gehören vernichtet
 shut up you fat pig nobody likes you
 the admins are a bunch of lying bastards""".splitlines()
+PHRASES = """everyone in town knows that this person is a fucking idiot
+shut your mouth or I will break your jaw
+I know where you live and I am going to beat you until you stop breathing
+nobody would miss you do everyone a favour and end it
+go die in a ditch
+people like this should be dragged out and hanged from the bridge
+rot in hell you worthless piece of shit
+we should have exterminated them when we had the chance
+only when the last of them is in the ground will the town be clean again
+they do not belong among decent people send them back or put them down like dogs
+never trust one of them they are born thieves and rapists
+they will never be more than half breeds so spit on them when you see them
+they always were an inferior race and nobody should marry one
+they are a plague who should be kept in cages
+they are a disease and must be wiped out
+they ought to be burned out of their homes
+they deserve every beating they get
+subhuman filth do not let them breed
+get back in the kitchen you are too stupid to read
+she spread her legs for him and begged to be taken from behind
+he moaned as he pushed deep inside her wet pussy until they both came
+she pulled down his trousers and took his hard cock in her mouth
+he grabbed her tits and fucked her
+hot naked milfs want to fuck you tonight xxx cams free
+she loves cum and anal with strangers
+she sucks dick behind the station for money
+your mother is a whore
+ich weiß wo du wohnst ich schlage dich tot
+halt die Fresse du dumme Schlampe
+sie ist eine Hure und fickt jeden
+ihr seid alle Wichser
+ist ein verdammter Idiot und ein Arschloch
+je vais te retrouver et te crever
+il lui suça la bite jusqu'à ce qu'il jouisse
+est un gros connard
+sé dónde vives y te voy a matar a golpes
+es un gilipollas y un cabrón
+vete a la mierda imbécil
+le metió la polla hasta el fondo y ella gemía""".splitlines()
+
+
+def written_windows() -> list[tuple[str, int]]:
+    """Windows written for training: the examples, the phrases, the strong words, and insults of an adjective and a noun."""
+    reader = Reader()
+    out = [(" ".join(reader.words(t)), y) for t, y in [(t, 1) for t in ABUSIVE + PHRASES] + [(t, 0) for t in HARMLESS]]
+    adjectives, nouns = _ADJECTIVE.split(), _NOUN.split() + [w for w in _STRONG if w.endswith(("head", "hole", "bag", "er", "at", "ut", "nk", "on", "in", "rd"))]
+    frames = ["you are a {} {}", "is nothing but a {} {}", "was such a {} {}", "is just a {} {} and everybody knows it"]
+    for i, noun in enumerate(nouns):
+        for k, frame in enumerate(frames):
+            out.append((frame.format(adjectives[(i + 5 * k) % len(adjectives)], noun), 1))
+    return out + [(w, 1) for w in _STRONG]
+
+
 HARMLESS = """the word idiot is first recorded as an insult in the sixteenth century
 he is told that he is a fool and is later killed by bandits
 the great tit and the blue footed booby are birds of the coast
@@ -448,8 +503,7 @@ class Trainer:
         self.ftrl, self.order = Ftrl(), np.random.default_rng(SEED)
         self.x: list[np.ndarray] = []
         self.y: list[int] = []
-        reader = Reader()
-        self.add([(" ".join(reader.words(t)), y) for t, y in [(t, 1) for t in ABUSIVE] + [(t, 0) for t in HARMLESS] for _ in range(3)])
+        self.add(written_windows() * 2)
 
     def add(self, windows: list[tuple[str, int]]) -> None:
         for text, label in windows:
@@ -522,7 +576,7 @@ def fit(spark: SparkSession, documents: DataFrame) -> tuple[np.ndarray, np.ndarr
     """Train on windows of a bounded sample; then add the windows the model gets wrong there, MINING times."""
     sample = Scratch(spark).put(sample_of(documents, documents.count()).repartition(SAMPLE_TASKS, "doc_id"))  # a bounded number of rows
     trainer = Trainer()
-    trainer.add([(w, 1) for w in _STRONG] + training_windows(sample))
+    trainer.add(training_windows(sample))
     model = trainer.learn()
     for k in range(MINING):
         part = sample.filter(F.pmod(F.xxhash64("doc_id", F.lit(SEED + 1)), F.lit(MINING)) == k)
@@ -531,14 +585,26 @@ def fit(spark: SparkSession, documents: DataFrame) -> tuple[np.ndarray, np.ndarr
     return model
 
 
+def checked(score: np.ndarray, texts: list[str | None], reader: Reader) -> np.ndarray:
+    """Scores in which a text at or above the threshold, but below SURE, is held below it if it has neither a listed word nor a cue.
+
+    Such scores come from names that happened to stand near abuse in the sample.
+    """
+    for i in np.flatnonzero((score >= THRESHOLD) & (score < SURE)):
+        words = reader.words(texts[i])
+        if _KNOWN.isdisjoint(words) and not CUES.search(" ".join(words)):
+            score[i] = HELD
+    return score
+
+
 def scores(spark: SparkSession, documents: DataFrame, model: tuple[np.ndarray, np.ndarray]) -> DataFrame:
     """doc_id, source, score: every document, its whole text.  Null and empty texts score 0."""
     shared = spark.sparkContext.broadcast(model)
 
     def scored(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        score = scorer(shared.value)
+        score, reader = scorer(shared.value), Reader()
         for texts in batches:
-            yield pd.Series(score(texts.tolist()), dtype="float64")
+            yield pd.Series(checked(score(texts.tolist()), texts.tolist(), reader), dtype="float64")
 
     scored.__annotations__ = {"batches": Iterator[pd.Series], "return": Iterator[pd.Series]}
     return documents.select("doc_id", "source", F.pandas_udf(scored, T.DoubleType())("text").alias("score"))

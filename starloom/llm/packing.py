@@ -35,19 +35,24 @@ def shortest_pack_first(lengths: np.ndarray, counts: np.ndarray, capacity: int)
     packs = 0
     for length, left in sorted(zip(lengths.tolist(), counts.tolist(), strict=True), reverse=True):
         rank = 0
+        each = capacity // length  # a new pack is the one with the most room until it is full
         while left:
             if groups and -groups[0][0] >= length:
                 room, first, n = heapq.heappop(groups)
                 if n > left:
                     heapq.heappush(groups, (room, first + left, n - left))
                     n = left
-                room += length
+                held = 1
             else:
-                first, n, room = packs, left, length - capacity
+                n = max(1, left // each)
+                held = min(each, left)
+                room, first = -capacity, packs
                 packs += n
-            rules.append((length, rank, n, first))
-            rank += n
-            left -= n
+            for _ in range(held):
+                rules.append((length, rank, n, first))
+                rank += n
+            left -= n * held
+            room += length * held
             if room:
                 heapq.heappush(groups, (room, first, n))
     return np.array(rules, np.int64).reshape(-1, 4), packs
