@@ -9,12 +9,13 @@ alone decide, repeated and out-of-order delivery, and the order of appends, chan
 
 from __future__ import annotations
 
-from functools import reduce
+from functools import cached_property, reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from starloom.functions.text import hex_position
+from starloom.operators.skew import anti_join, hot_values, look_up
 from starloom.sources.tables import Scratch, bounded
 
 DELETE, INSERT, BEFORE, UPDATE = 1, 2, 3, 4  # operation codes of the feed (fixed values)
@@ -60,6 +61,7 @@ class EqualityDeleteTable:
         rows = changes.select(F.explode(F.array_compact(F.array(*kinds))).alias("kind"), "order_id", "product_id", "pos", *LINE, *HEADER)
         rows.write.mode("append").partitionBy("kind").option("compression", "zstd").parquet(self.path)
         self.schema = rows.schema
+        self.__dict__.pop("hot_orders", None)
 
     def rows(self, kind: str) -> DataFrame:
         return self.spark.read.schema(self.schema).parquet(self.path).filter(F.col("kind") == kind)
@@ -70,15 +72,19 @@ class EqualityDeleteTable:
         order = self.rows("order_delete").groupBy("order_id").agg(F.max("pos").alias("order_pos"))
         return line, order
 
+    @cached_property
+    def hot_orders(self) -> list:
+        """Orders that have a large share of all line changes, when order deletes are too many to broadcast."""
+        return hot_values(self.rows("line_delete"), "order_id")
+
     def live(self) -> DataFrame:
         """order_id, product_id, pos and values of the lines that are there."""
         line, order = self.deletes()
         line = line.select(F.col("order_id").alias("__sl_o"), F.col("product_id").alias("__sl_p"), "del_pos")
-        order = order.select(F.col("order_id").alias("__sl_o"), "order_pos")
         # copies of one change are combined before the shuffle
         data = self.rows("data").groupBy("order_id", "product_id", "pos").agg(F.max(F.struct(*LINE)).alias("values"))
         rows = data.join(line, (F.col("order_id") == F.col("__sl_o")) & (F.col("product_id") == F.col("__sl_p")) & (F.col("pos") < F.col("del_pos")), "left_anti")
-        rows = rows.join(order, (F.col("order_id") == F.col("__sl_o")) & (F.col("pos") < F.col("order_pos")), "left_anti")
+        rows = anti_join(rows, order, "order_id", F.col("product_id"), F.col("pos") < F.col("order_pos"), lambda: self.hot_orders)
         return rows.select("order_id", "product_id", "pos", *(F.col(f"values.{c}").alias(c) for c in LINE))
 
     def lines(self) -> DataFrame:
@@ -89,7 +95,8 @@ class EqualityDeleteTable:
         """
         line, order = self.deletes()
         there = self.live().withColumn("is_deleted", F.lit(0))
-        gone = line.join(there.select("order_id", "product_id"), ["order_id", "product_id"], "left_anti").join(order, "order_id", "left")
+        gone = line.join(there.select("order_id", "product_id"), ["order_id", "product_id"], "left_anti")
+        gone = look_up(gone, order, "order_id", F.col("product_id"), hot=lambda: self.hot_orders)
         gone = gone.select(
             "order_id", "product_id",
             F.when(F.col("order_pos") > F.col("del_pos"), F.col("order_pos")).otherwise(F.col("del_pos")).alias("pos"),

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -34,12 +36,25 @@ def salt_right(df: DataFrame, key: str, hot: list) -> DataFrame:
     return df.withColumn("__sl_salt", F.explode(every))
 
 
-def look_up(left: DataFrame, right: DataFrame, key: str, spread: Column, hot: list | None = None, how: str = "left", broadcast_rows: int = 200_000) -> DataFrame:
+def look_up(left: DataFrame, right: DataFrame, key: str, spread: Column, hot: list | Callable[[], list] | None = None, how: str = "left", broadcast_rows: int = 200_000) -> DataFrame:
     """left joined to right, which has each key once: broadcast if right is small enough, else salted by left's hot keys."""
     from starloom.sources.tables import bounded
 
     if bounded(right, broadcast_rows):
         return left.join(F.broadcast(right), key, how)
-    hot = hot_values(left, key) if hot is None else hot
+    hot = hot_values(left, key) if hot is None else hot() if callable(hot) else hot
     l, r = salt_left(left, key, hot, spread), salt_right(right, key, hot)
     return l.join(r, [key, "__sl_salt"], how).drop("__sl_salt")
+
+
+def anti_join(left: DataFrame, right: DataFrame, key: str, spread: Column, condition: Column, hot: Callable[[], list], broadcast_rows: int = 200_000) -> DataFrame:
+    """left without the rows for which right, which has each key once, has a row that meets the condition; joined as in look_up."""
+    from starloom.sources.tables import bounded
+
+    r = right.withColumnRenamed(key, "__sl_right")
+    on = (F.col(key) == F.col("__sl_right")) & condition
+    if bounded(right, broadcast_rows):
+        return left.join(F.broadcast(r), on, "left_anti")
+    values = hot()
+    l, r = salt_left(left, key, values, spread), salt_right(r, "__sl_right", values).withColumnRenamed("__sl_salt", "__sl_right_salt")
+    return l.join(r, on & (F.col("__sl_salt") == F.col("__sl_right_salt")), "left_anti").drop("__sl_salt")

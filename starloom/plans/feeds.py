@@ -10,9 +10,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from starloom.functions.values import net_amount
-from starloom.operators import changefeed, facts
+from starloom.operators import changefeed, facts, pipeline
 from starloom.operators.ordering import running_sum
 from starloom.plans.star import F_SQL, Star
+from starloom.sources.connectors import publishable
 
 QUERIES: dict = {}
 SQL: dict[str, str] = {}
@@ -163,3 +164,47 @@ def affected_snapshot_semi(s: Star) -> DataFrame:
 def late_header(s: Star) -> DataFrame:
     """Lines whose header hasn't come stay, without its values."""
     return facts.stitch(_headers(s).filter("order_id % 3 <> 0"), _lines(s), "order_id").select("order_id", "l_partkey", "l_linenumber", "l_shipdate", "has_header")
+
+
+# Running a warehouse
+
+
+@report("SELECT event_id, user_id, CAST(json_extract_string(props, '$.k') AS BIGINT) AS k, ts::DATE AS event_date FROM events WHERE props IS NOT NULL QUALIFY row_number() OVER (PARTITION BY user_id, event_type ORDER BY ts DESC) = 1")
+def audit_index(s: Star) -> DataFrame:
+    """Event payloads parsed, the last document of each user and type, with their day."""
+    d = s.raw("events").select(F.concat_ws("|", "user_id", "event_type").alias("id"), "event_id", "user_id", "ts", "props")
+    return pipeline.audit_index(d, "props", "k bigint", "id", "ts").select("event_id", "user_id", "k", "event_date")
+
+
+@report("SELECT CASE WHEN user_id % 7 = 3 THEN 'stream' WHEN user_id % 11 = 5 THEN 'warehouse' END AS peer, count(*) AS flows, count(DISTINCT user_id) AS ids FROM events GROUP BY ALL")
+def flow_labels(s: Star) -> DataFrame:
+    """Flows by the known port at either end."""
+    e = s.raw("events").select("user_id", F.when(F.col("user_id") % 11 == 5, 5432).otherwise(1).alias("src"), F.when(F.col("user_id") % 7 == 3, 9092).otherwise(1).alias("dst"))
+    peer = pipeline.flow_peer(F.col("src"), F.col("dst"), {5432: "warehouse", 9092: "stream"}).alias("peer")
+    return e.groupBy(peer).agg(F.count(F.lit(1)).alias("flows"), F.countDistinct("user_id").alias("ids"))
+
+
+_KEPT = "kept AS (SELECT event_type AS source, event_id AS lsn FROM events WHERE event_id > 500 + length(event_type) * 100), st AS (SELECT event_type AS source, 1000::BIGINT AS last_lsn FROM events GROUP BY ALL)"
+
+
+@report(f"WITH {_KEPT} SELECT st.source, last_lsn AS last_read, min(lsn) AS oldest_kept FROM st JOIN kept ON kept.source = st.source GROUP BY ALL HAVING min(lsn) > last_lsn")
+def cdc_gaps(s: Star) -> DataFrame:
+    """Sources of which changes after the last one read were purged."""
+    e = s.raw("events").select(F.col("event_type").alias("source"), F.col("event_id").alias("lsn"))
+    kept = e.filter(F.col("lsn") > 500 + F.length("source") * 100)
+    state = e.select("source").distinct().withColumn("last_lsn", F.lit(1000).cast("bigint"))
+    return pipeline.gaps(kept, state, "source", "lsn", "last_lsn")
+
+
+@report("SELECT rtrim(c.capture_instance) AS capture_instance, c.operation, count(*) AS changes FROM order_changes c JOIN stream_state s ON s.capture_instance = rtrim(c.capture_instance) WHERE s.is_active AND (c.operation <> 1 OR s.propagate_deletes) GROUP BY ALL")
+def publishable_changes(s: Star) -> DataFrame:
+    """What is passed on under each source's delete policy."""
+    c = s.raw("order_changes").select(F.rtrim("capture_instance").alias("capture_instance"), "operation")
+    d = publishable(c, s.raw("stream_state"), "capture_instance", "operation")
+    return d.groupBy("capture_instance", "operation").agg(F.count(F.lit(1)).alias("changes"))
+
+
+@report("SELECT c_nationkey, string_agg(DISTINCT c_mktsegment, ', ' ORDER BY c_mktsegment) AS segments FROM customer GROUP BY ALL")
+def joined_names(s: Star) -> DataFrame:
+    """Distinct names of a group as one text, in order."""
+    return s.raw("customer").groupBy("c_nationkey").agg(F.array_join(F.sort_array(F.collect_set("c_mktsegment")), ", ").alias("segments"))

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from starloom.functions import bitmaps
 from starloom.functions.values import coerce, fill_zeros, net_amount
-from starloom.operators import asof, changefeed, diff, facts, hierarchy, history, keys, late, orphans, scd
+from starloom.operators import asof, changefeed, diff, facts, hierarchy, history, keys, late, orphans, scd, skew
 from starloom.operators.ordering import fill_forward, neighbour, rank_within, running_sum
 from starloom.operators.standing import OPEN_END, current, live, open_end, standing
 
@@ -108,6 +108,17 @@ def test_change_feed(spark):
         assert got(lines) == [(1, 1, 0, "b", 6), (1, 2, 1, "c", None), (2, 1, 0, "e", 9), (3, 1, 1, "d", None), (5, 1, 0, "a", 7)]
 
 
+def test_salted_joins(spark):
+    left = spark.createDataFrame([(1, i) for i in range(300)] + [(i, i) for i in range(100)], "k int, i int")
+    right = spark.createDataFrame([(i, 10 * i) for i in range(0, 100, 2)] + [(1, 150)], "k int, v int")
+    assert skew.hot_values(left, "k") == [1]
+    want = sorted((k, i, {**{j: 10 * j for j in range(0, 100, 2)}, 1: 150}.get(k)) for k, i in [tuple(r) for r in left.collect()])
+    for most in (1000, 0):  # broadcast, salted
+        assert sorted(tuple(r) for r in skew.look_up(left, right, "k", F.col("i"), broadcast_rows=most).select("k", "i", "v").fillna(-1).collect()) == sorted((k, i, -1 if v is None else v) for k, i, v in want)
+        rest = skew.anti_join(left, right, "k", F.col("i"), F.col("i") < F.col("v"), lambda: [1], broadcast_rows=most)
+        assert sorted(tuple(r) for r in rest.collect()) == sorted((k, i) for k, i, v in want if v is None or i >= v)
+
+
 # Late events
 
 

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from starloom import contract
-from starloom.operators import lake, quality, telemetry
+from starloom.operators import lake, pipeline, quality, telemetry
 from starloom.operators.changefeed import EqualityDeleteTable
 from starloom.sources import connectors, tables
 from starloom.streaming import applier
@@ -100,6 +100,27 @@ def test_bounded_and_scratch(spark):
     s.close()
 
 
+def test_pipeline(spark, tmp_path):
+    c = spark.createDataFrame([("a", "01"), ("a", "05"), ("b", "02")], "source string, lsn string")
+    w = pipeline.next_window(c.filter("source = 'a'"), "a", "lsn", "01")
+    assert not w.is_empty and [r["lsn"] for r in w.of(c, "lsn").collect()] == ["05", "02"]
+    assert pipeline.ChangeWindow("a", "05", "05").is_empty and pipeline.next_window(c.limit(0), "a", "lsn", None).of(c, "lsn").count() == 0
+    order = pipeline.load_order()
+    assert all(order.index(x) < order.index(t) for t, needed in pipeline.DEPENDS.items() for x in needed)
+    log, out = str(tmp_path / "log"), str(tmp_path / "out")
+    pipeline.logged(spark, "load", log, c, lambda d: d.write.parquet(out))
+    with pytest.raises(Exception, match="exists"):
+        pipeline.logged(spark, "again", log, c, lambda d: d.write.parquet(out))
+    assert got(spark.read.parquet(log).select("step", "rows", "status")) == [("again", None, "failed"), ("load", 3, "success")]
+    v = spark.createDataFrame([(1, "x", 1), (1, "y", 2)], "k int, v string, _version bigint")
+    root = str(tmp_path / "second")
+    pipeline.seed({"t": (v, ["k"])}, root)
+    assert got(spark.read.parquet(f"{root}/t").select("k", "v")) == [(1, "y")]
+    with pytest.raises(FileExistsError):
+        pipeline.seed({"t": (v, ["k"])}, root)
+    pipeline.seed({"t": (v.limit(0), ["k"])}, root, force=True)
+
+
 # Streaming
 
 
