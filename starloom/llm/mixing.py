@@ -13,9 +13,11 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from starloom.operators.ordering import running_sum
+from starloom.sources.tables import bounded
 
 SEED = 20
-KEY_BUCKETS = 256
+ROWS_A_BUCKET = 50_000  #: expected documents in a bucket of keys
+LEAST_BUCKETS = 16
 LEAST_WEIGHT = 0.05
 SOURCES = 100_000  #: most sources whose budgets are broadcast
 
@@ -62,10 +64,12 @@ def mix(spark: SparkSession, counts: DataFrame, plan: DataFrame, seed: int = SEE
     budget ends is drawn if at least half of it lies within, so a source misses its budget by at most
     half a document.  Documents without tokens are drawn in complete epochs only.
     """
-    p = plan.filter(F.col("budget") > 0).select("source", "epochs", "rest")
-    d = counts.select("doc_id", "source", "tokens", "weight").join(F.broadcast(p), "source").withColumn("__sl_key", key(F.col("doc_id"), F.col("weight"), seed))
+    buckets = F.greatest(F.lit(LEAST_BUCKETS), F.ceil(F.col("documents") / ROWS_A_BUCKET)).alias("__sl_n")
+    p = plan.filter(F.col("budget") > 0).select("source", "epochs", "rest", buckets)
+    p = F.broadcast(p) if bounded(p, SOURCES) else p
+    d = counts.select("doc_id", "source", "tokens", "weight").join(p, "source").withColumn("__sl_key", key(F.col("doc_id"), F.col("weight"), seed))
     # 1 - exp(-key) spreads keys of weight 1 evenly
-    bucket = F.floor((1 - F.exp(-F.col("__sl_key"))) * KEY_BUCKETS)
+    bucket = F.floor((1 - F.exp(-F.col("__sl_key"))) * F.col("__sl_n"))
     d = running_sum(d, ["source"], ["__sl_key", "doc_id"], "tokens", "__sl_sum", bucket)
     drawn = (F.col("tokens") > 0) & (F.col("__sl_sum") - F.col("tokens") / 2 <= F.col("rest"))
     d = d.withColumn("copies", (F.col("epochs") + drawn.cast("bigint")).cast("bigint"))
