@@ -56,13 +56,28 @@ def pieces(text: str) -> Iterator[str]:
     yield text[start:]
 
 
+@lru_cache(maxsize=1)
+def _splitter():
+    import regex
+
+    return regex.compile(PATTERN)
+
+
+def _length(text: str, path: str) -> int:
+    """Tokens of a text.  Runs of blanks too long for the library's splitter are split by another one with the same pattern."""
+    encoding = _encoding(path)
+    try:
+        return len(encoding.encode_ordinary(text))
+    except (KeyboardInterrupt, SystemExit):
+        raise
+    except BaseException:  # the splitter's stack overflow is no Exception
+        return sum(len(encoding._encode_single_piece(m.group())) for m in _splitter().finditer(text))
+
+
 def count(text: str | None, path: str) -> int:
     if not text:
         return 0
-    encode = _encoding(path).encode_ordinary
-    if len(text) <= LONG_TEXT:
-        return len(encode(text))
-    return sum(len(encode(p)) for p in pieces(text))
+    return _length(text, path) if len(text) <= LONG_TEXT else sum(_length(p, path) for p in pieces(text))
 
 
 def token_counts(spark: SparkSession, documents: DataFrame, text: str = "text", out: str = "tokens") -> DataFrame:

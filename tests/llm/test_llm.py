@@ -29,6 +29,8 @@ def test_token_counts(spark):
     path = tokens.vocabulary_path(spark)
     whole = [len(tokens._encoding(path).encode_ordinary(t)) if t else 0 for t in texts]
     assert [n[i] for i in range(len(texts))] == whole
+    blanks = "a" + " " * 1_000_000 + "b c"
+    assert tokens.count(blanks, path) == sum(len(tokens._encoding(path)._encode_single_piece(p)) for p in ("a", " " * 999_999, " b", " c"))
     assert len(long) > tokens.LONG_TEXT and "".join(tokens.pieces(long)) == long
 
 
