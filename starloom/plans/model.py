@@ -239,14 +239,13 @@ def as_was(s: Star) -> DataFrame:
     return d.groupBy(F.col("category_name").alias("as_was")).agg(F.count(F.lit(1)).alias("lines"))
 
 
-@report("SELECT c.customer_alternate_key, c.start_date, c.end_date IS NULL AS never FROM dim_customer c WHERE false")
+@report("SELECT unnest(['dim_customer', 'dim_products', 'dim_employees', 'dim_suppliers']) AS table_name, 0::BIGINT AS problems")
 def contract_problems(s: Star) -> DataFrame:
-    """Columns in which stored dimensions differ from the contract; none."""
+    """In how many columns each stored dimension differs from the contract."""
     from starloom.contract import validate
 
-    said = [x for t in ("dim_customer", "dim_products", "dim_employees", "dim_suppliers") for x in validate(DIMENSIONS[t], s.raw(t).schema)]
-    d = s.raw("dim_customer").select("customer_alternate_key", "start_date", F.col("end_date").isNull().alias("never"))
-    return d.filter(F.lit(bool(said)))
+    said = [(t, len(validate(DIMENSIONS[t], s.raw(t).schema))) for t in ("dim_customer", "dim_products", "dim_employees", "dim_suppliers")]
+    return s.spark.createDataFrame(said, "table_name string, problems bigint")
 
 
 @report("SELECT count(*) AS rows, 0 AS zero_int, '' AS zero_text FROM dim_suppliers")
