@@ -2,9 +2,10 @@
 
 Time is cut into cells (days) and nodes of 8, 64, 512, ... cells: every third level of the dyadic
 tree.  An interval is covered by a few nodes, each as large as fits, and an event lies in exactly
-one node of each level.  So interval containment is an equality join on (entity, level, node), with
-no range condition to spread over all pairs of an entity.  Cells at an interval's ends are covered
-whole; the exact half-open test follows.  Of several versions that hold, the one that started last
+one node of each level, of which those are kept that its entity's intervals use.  So interval
+containment is an equality join on (entity, level, node), with no range condition to spread over
+all pairs of an entity.  Cells at an interval's ends are covered whole; the exact half-open test
+follows.  Of several versions that hold, the one that started last
 wins, then the one with the highest version, then with the greatest key.
 """
 
@@ -14,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from starloom.functions.text import epoch_micros
-from starloom.operators.skew import hot_values, salt_left, salt_right
+from starloom.operators.skew import hot_values, look_up, salt_left, salt_right
 
 CELL = 86_400 * 1_000_000
 STRIDE = 3
@@ -71,11 +72,16 @@ def matches(events: DataFrame, versions: DataFrame, entity: str, at: str, spread
     v = versions.withColumns({"__sl_a": a, "__sl_b": b}).filter(F.col("__sl_a") < F.col("__sl_b"))
     v = v.select(entity, *payload, F.explode(cover(F.col("__sl_a"), F.col("__sl_b"), levels)).alias("__sl_n"))
     v = v.select(entity, *payload, "__sl_n.level", "__sl_n.node").withColumnsRenamed({"level": "__sl_level", "node": "__sl_node"})
+    hot = hot_values(e, entity)
+    # most entities have nodes at few levels; an event is doubled only for those of its entity
+    used = v.groupBy(entity).agg(F.expr("bit_or(shiftleft(1, __sl_level))").alias("__sl_used"))
+    kept = e.columns
+    e = look_up(e, used, entity, spread, hot=hot, how="inner")
     cell = F.floor(epoch_micros(F.col(at)) / F.lit(CELL)).cast("bigint") - lo
     own = F.array(*(F.struct(F.lit(k).alias("level"), F.floor(cell / F.lit(1 << (STRIDE * k))).cast("bigint").alias("node")) for k in range(levels)))
-    hot = hot_values(e, entity)
+    own = F.filter(own, lambda n: F.getbit(F.col("__sl_used"), n["level"]) == 1)
     x = salt_left(e, entity, hot, spread).withColumn("__sl_n", F.explode(own))
-    x = x.select(*e.columns, "__sl_salt", F.col("__sl_n.level").alias("__sl_level"), F.col("__sl_n.node").alias("__sl_node"))
+    x = x.select(*kept, "__sl_salt", F.col("__sl_n.level").alias("__sl_level"), F.col("__sl_n.node").alias("__sl_node"))
     found = x.join(salt_right(v, entity, hot), [entity, "__sl_salt", "__sl_level", "__sl_node"])
     holds = (F.col("start_date") <= F.col(at)) & (F.col("end_date").isNull() | (F.col(at) < F.col("end_date")))
     return found.filter(holds).drop("__sl_salt", "__sl_level", "__sl_node")
