@@ -13,7 +13,7 @@ from starloom.contract import DIMENSIONS
 from starloom.functions.values import zero
 from starloom.operators import keys, scd
 from starloom.operators.standing import OPEN_END, open_end, standing
-from starloom.plans.star import C_SQL, D_SQL, E_OPEN, F_SQL, G_SQL, P_OPEN, P_SQL, Star, dim_sql
+from starloom.plans.star import C_SQL, D_SQL, E_OPEN, F_SQL, G_SQL, P_OPEN, P_SQL, Star
 
 QUERIES: dict = {}
 SQL: dict[str, str] = {}
