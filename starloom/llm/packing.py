@@ -11,6 +11,7 @@ go to packs c .. c + n - 1.  Documents are ranked within their length and find t
 from __future__ import annotations
 
 import heapq
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
@@ -19,7 +20,6 @@ from pyspark.sql import types as T
 
 from starloom.operators.ordering import rank_within
 
-
 ROWS_A_BUCKET = 200_000
 BIG = np.int64(1) << 40
 SIZES = 100  #: most container sizes packed at once
@@ -28,7 +28,9 @@ SIZES = 100  #: most container sizes packed at once
 def shortest_pack_first(lengths: np.ndarray, counts: np.ndarray, capacity: int) -> tuple[np.ndarray, int]:
     """Rules (length, first rank, items, first pack) and the number of packs.
 
-    Every item of every length is placed once; lengths lie in 1 .. capacity.
+    Every item of every length is placed once; lengths lie in 1 .. capacity.  A step ends a length, moves
+    a whole group or opens packs, and only the end of a length splits a group, so there are at most two
+    groups per length and as many rules as groups hold items: a bound set by the capacity alone.
     """
     rules: list[tuple[int, int, int, int]] = []
     groups: list[tuple[int, int, int]] = []  # (-room, first pack, packs)
