@@ -89,9 +89,10 @@ def as_of(events: DataFrame, versions: DataFrame, id_columns: list[str], entity:
     kept = [c for c in events.columns if c not in id_columns]
     v = versions.select(entity, "start_date", "end_date", F.col(version).alias("__sl_version"), *(F.col(c).alias(f"__sl_{c}") for c in values))
     spread = F.concat_ws("|", *(F.col(c).cast("string") for c in id_columns))
-    m = matches(events, v, entity, at, spread)
+    m = matches(events.select(*dict.fromkeys([*id_columns, entity, at])), v, entity, at, spread)
     best = F.struct("start_date", "__sl_version", *(f"__sl_{c}" for c in values))
     both = events.select(*id_columns, F.struct(*kept).alias("__sl_own"), F.lit(None).cast(m.select(best).schema[0].dataType).alias("__sl_best"))
-    both = both.unionByName(m.select(*id_columns, F.struct(*kept).alias("__sl_own"), best.alias("__sl_best")))
+    nothing = F.lit(None).cast(both.schema["__sl_own"].dataType)
+    both = both.unionByName(m.select(*id_columns, nothing.alias("__sl_own"), best.alias("__sl_best")))
     out = both.groupBy(*id_columns).agg(F.max("__sl_own").alias("__sl_own"), F.max("__sl_best").alias("__sl_best"))
     return out.select(*id_columns, *(F.col(f"__sl_own.{c}").alias(c) for c in kept), F.col("__sl_best").isNotNull().alias("found"), *(F.col(f"__sl_best.__sl_{c}").alias(c if c not in kept else f"valid_{c}") for c in values))
