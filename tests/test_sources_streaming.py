@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import os
 
 import pytest
 from pyspark.sql import functions as F
@@ -133,6 +134,8 @@ def _message(lsn: int, op: int, order: int, product: int | None, quantity: int |
 def _write(path, name: str, rows: list[dict]) -> None:
     path.mkdir(exist_ok=True)
     (path / name).write_text("\n".join(map(json.dumps, rows)))
+    second = 1_700_000_000 + 10 * len(list(path.iterdir()))  # files are read in the order of their times
+    os.utime(path / name, (second, second))
 
 
 def test_stream_survives_a_failed_batch(spark, tmp_path):
@@ -162,7 +165,7 @@ def test_stream_survives_a_failed_batch(spark, tmp_path):
 
 def test_late_events_correct_a_window_until_the_watermark(spark, tmp_path):
     source = tmp_path / "in"
-    rows = [["2024-01-01 10:10:00", 1.0], ["2024-01-01 12:30:00", 2.0]], [["2024-01-01 10:20:00", 4.0], ["2024-01-02 12:00:00", 8.0]], [["2024-01-01 10:30:00", 16.0], ["2024-01-05 00:00:00", 0.0]]
+    rows = [["2024-01-01 10:10:00", 1.0], ["2024-01-01 12:30:00", 2.0]], [["2024-01-01 10:20:00", 4.0], ["2024-01-02 12:00:00", 8.0]], [["2024-01-02 12:00:01", 0.0]], [["2024-01-01 10:30:00", 16.0], ["2024-01-05 00:00:00", 0.0]]
     for i, part in enumerate(rows):
         _write(source, f"{i}.json", [{"at": a, "k": "x", "v": v} for a, v in part])
     e = applier.read_files(spark, str(source), "at timestamp, k string, v double")
@@ -170,4 +173,4 @@ def test_late_events_correct_a_window_until_the_watermark(spark, tmp_path):
     applier.run_to_end(applier.tumbling(e, "at", "1 hour", "6 hours", ["k"], "v"), lambda b, n: b.withColumn("n", F.lit(n)).write.mode("append").parquet(out), str(tmp_path / "check"))
     r = spark.read.parquet(out)
     ten = r.filter("hour(window_start) = 10").collect()
-    assert [(x["events"], x["total"]) for x in ten] == [(2, 5.0)]  # the third event came after the cut-off
+    assert [(x["events"], x["total"]) for x in ten] == [(2, 5.0)]  # the last event of that hour came after the cut-off
