@@ -153,6 +153,18 @@ def test_held_out_accuracy(spark):
     assert len(flagged & true) >= 0.85 * len(true) and len(flagged & true) >= 0.85 * len(flagged)
 
 
+def test_the_model_decides(spark):
+    """A text without listed words or cues keeps the score the model gives it."""
+    text = "we will come for your children tonight"
+    t = np.array([abuse.token_hash(w) for w in text.split()], np.int64)
+    at = np.unique(abuse.features(t, np.arange(len(t)))[:, 0])
+    model = at.astype(np.int32), np.full(len(at), 4.0 / len(at), np.float32)
+    assert not abuse.CUES.search(text) and abuse._KNOWN.isdisjoint(text.split())
+    d = spark.createDataFrame([(1, "a", text), (2, "a", "the harbour was built in spring")], "doc_id bigint, source string, text string")
+    score = {r["doc_id"]: r["score"] for r in abuse.scores(spark, d, model).collect()}
+    assert abs(score[1] - 1 / (1 + np.exp(-1))) < 1e-6 and score[2] < 0.1
+
+
 # Queries
 
 
