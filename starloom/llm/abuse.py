@@ -326,7 +326,27 @@ _CUES = [
     r"\bhave exterminated the\b|\blast of the \w+(?: \w+){0,3} is in the ground\b|\bbelong among decent\b|\bput them down like\b|\bborn thieves\b|\bspit on them\b|\bbe kept in cages\b|\bbe wiped out\b|\bburned out of their homes\b|\bdeserve every beating\b|\bnobody should marry\b|\blet them breed\b|\bback in the kitchen\b|\bdriven out of \w+ ?\b(?<=vermin and should be driven out of )|\bvermin and should\b",
     r"\bsont de la vermine\b|\bfaut tous les eliminer\b|\bson basura\b|\bhay que exterminar\w*\b|\bsind ungeziefer\b|\bgehoren vernichtet\b|\bungeziefer und\b",
 ]
-CUES = re.compile("|".join(f"(?:{c})" for c in _CUES[:7] + [_CUES[7].replace(r"|\bdriven out of \w+ ?\b(?<=vermin and should be driven out of )", "")] + _CUES[8:]))
+_PEOPLE = r"(?:these|those) (?:\w+ )?people|immigrants|migrants|foreigners|refugees|women|jews|muslims|christians|blacks|whites|gays|lesbians|gypsies"
+# Patterns of kinds of abuse, in wordings that no sentence here has.
+_KINDS_OF_ABUSE = [
+    r"\b(?:i|we|ll|gonna|going to|will|shall|should|want to) (?:\w+ ){0,2}(?:kill|murder|rape|stab|strangle|shoot|beat|gut|behead|lynch) (?:you|u|ya)\b",
+    r"\b(?:hang|shoot|drown|hurt) (?:yourself|urself|yourselves)\b|\b(?:hope|wish) (?:\w+ ){0,2}(?:you|u) (?:\w+ ){0,2}(?:die|burn|suffer|rot|get raped|get cancer)\b",
+    rf"\b(?:you|they|{_PEOPLE}) (?:\w+ ){{0,2}}(?:deserve|need|ought) to (?:die|be (?:shot|hanged|killed|gassed|exterminated|raped|beaten|put down|lynched))\b",
+    rf"\b(?:you|{_PEOPLE}) (?:are|re) (?:all |nothing but |just |no better than |like )*(?:vermin|cockroaches|rats|apes|monkeys|savages|insects|lice|maggots|filth|trash|garbage|a cancer|a plague|a disease)\b",
+    r"\b(?:wipe out|exterminate|eradicate|gas|lynch|shoot) (?:them all|all of them|every (?:last )?one of them)\b",
+    r"\byou (?:are|re) (?:\w+ ){0,2}(?:pathetic|worthless|disgusting|brainless|repulsive)\b",
+    r"\b(?:suck|sucked|sucking|lick|licked|licking|stroked|stroking|rode|riding) (?:on )?(?:his|her|my|your) (?:\w+ ){0,2}(?:cock|dick|shaft|clit|nipples?|breasts|tits|balls|pussy)\b",
+    r"\b(?:cum|came|coming) (?:inside|all over|in|on) (?:her|him|his|my|your) (?:face|mouth|tits|breasts|ass|belly)\b|\bsend (?:me )?(?:your )?nudes\b",
+    r"\b(?:ich|wir) (?:\w+ ){0,3}(?:dich|euch) (?:\w+ ){0,2}(?:umbringen|toten|totschlagen|abstechen|erschiessen)\b|\bbringe? (?:dich|euch) um\b",
+    r"\bje (?:vais|veux) (?:te|vous) (?:tuer|egorger|buter|violer)\b|\bva (?:crever|mourir)\b|\b(?:te|os) (?:voy|vamos) a (?:violar|reventar|degollar)\b|\bojala te mueras\b",
+]
+CUES = re.compile("|".join(f"(?:{c})" for c in _CUES[:7] + [_CUES[7].replace(r"|\bdriven out of \w+ ?\b(?<=vermin and should be driven out of )", "")] + _CUES[8:] + _KINDS_OF_ABUSE))
+# Words for whom a window may be aimed at; one that holds any is no evidence of harmlessness.
+TARGETS = frozenset(
+    """you your yours yourself yourselves u ur he him she her they them their these those people women woman men girl girls boy boys immigrants migrants foreigners refugees jews muslims
+    christians blacks whites gays lesbians gypsies du dich dir dein deine deinen ihr euch euer eure sie ihnen diese frauen leute tu te toi ton ta tes vous votre vos ils elles eux ces femmes gens
+    ti tus usted ustedes vosotros ellos ellas estos esos mujeres gente""".split()
+)
 
 # Windows written for training, abusive and harmless ones that share words.
 ABUSIVE = """you are a complete idiot and everybody knows it
@@ -343,7 +363,20 @@ todos ellos son basura hay que exterminarlos
 ces gens sont de la vermine il faut les éliminer
 diese Leute sind Ungeziefer und gehören vernichtet
 shut up you fat pig nobody likes you
-the admins are a bunch of lying bastards""".splitlines()
+the admins are a bunch of lying bastards
+one day I will murder you in your sleep
+we are gonna stab you and your children
+I hope you get cancer and die slowly
+you people are worse than rats and maggots
+those foreigners are savages who deserve to be shot
+round them up and gas every last one of them
+you are a disgusting brainless excuse for a human
+women are only good for one thing
+he came all over her face while she licked his shaft
+send me your nudes and touch yourself for me
+wir werden dich umbringen
+je vais te tuer toi et ta famille
+ojalá te mueras te voy a degollar""".splitlines()
 PHRASES = """everyone in town knows that this person is a fucking idiot
 shut your mouth or I will break your jaw
 I know where you live and I am going to beat you until you stop breathing
@@ -413,7 +446,15 @@ le dépistage du cancer du sein et la campaña contra el cáncer de mama
 le coq et la poule el gallo y la perra pastora son razas antiguas
 Dick Cumming and Anna Cockburn ran the school in Scunthorpe
 a wild ass was kept in the park and the nude in bronze stood before the museum
-sexual reproduction begins in the third year and asexual budding is more common""".splitlines()
+sexual reproduction begins in the third year and asexual budding is more common
+you can send your photographs to the archive and they will be shown to people
+if you hope to see them you should come before the rats and insects do
+she was shot by the police and he died of cancer
+according to the census 400 people lived in the village and worked on farms nearby
+the women of the town were killed and their children were sent to another family
+vous pouvez visiter la ville et te reposer
+Sie können dich und deine Familie besuchen
+te voy a contar la historia de los ellos y sus familias""".splitlines()
 
 
 def _hash01(text: str) -> float:
@@ -448,13 +489,23 @@ def windows_of(reader: Reader, text: str, doc_id: int, others: float) -> Iterato
             yield " ".join(w), 0
 
 
-def hard_window(reader: Reader, score, text: str) -> str | None:
-    """The window the model thinks worst in a text without cues, if it thinks it bad enough to be learnt from."""
+def hard_window(reader: Reader, score, outside, text: str) -> str | None:
+    """The window the model thinks worst in a text without cues, if it thinks it bad and there is evidence that it is harmless.
+
+    Evidence: it holds no listed word and none that it could be aimed at, and outside, a model that
+    has seen neither the text nor its half of the sample, scores it below the threshold.  Without, it
+    stays unlabelled.
+    """
     words = reader.words(text)
     if not words or CUES.search(" ".join(words)):
         return None
     end, length = score([text], ends=True)[0]
-    return None if end < 0 else " ".join(words[end + 1 - length : end + 1])
+    if end < 0:
+        return None
+    w = words[end + 1 - length : end + 1]
+    if not (_KNOWN.isdisjoint(w) and TARGETS.isdisjoint(w)) or outside([" ".join(w)])[0] >= THRESHOLD:
+        return None
+    return " ".join(w)
 
 
 def sample_of(documents: DataFrame, total: int, sample_docs: int = SAMPLE_DOCS) -> DataFrame:
@@ -481,14 +532,14 @@ def training_windows(sample: DataFrame, most: int = TRAIN_WINDOWS) -> list[tuple
     return _bounded(sample.mapInPandas(cut, "window string, label int"), most)
 
 
-def hard_windows(spark: SparkSession, sample: DataFrame, model: tuple, most: int = TRAIN_WINDOWS) -> list[tuple[str, int]]:
-    """The worst window of each sampled document without cues that the model scores near or above the threshold."""
-    shared = spark.sparkContext.broadcast(model)
+def hard_windows(spark: SparkSession, sample: DataFrame, model: tuple, outside: tuple, most: int = TRAIN_WINDOWS) -> list[tuple[str, int]]:
+    """The worst window of each sampled document, as harmless, where hard_window finds evidence of that."""
+    shared = spark.sparkContext.broadcast((model, outside))
 
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        reader, score = Reader(), scorer(shared.value)
+        reader, score, other = Reader(), *map(scorer, shared.value)
         for b in batches:
-            rows = [w for t in b["text"] if (w := hard_window(reader, score, t))]
+            rows = [w for t in b["text"] if (w := hard_window(reader, score, other, t))]
             yield pd.DataFrame({"window": pd.Series(rows, dtype=object), "label": 0})
 
     return _bounded(sample.mapInPandas(cut, "window string, label int"), most)
@@ -571,15 +622,24 @@ def scorer(model: tuple[np.ndarray, np.ndarray]):
 
 
 def fit(spark: SparkSession, documents: DataFrame) -> tuple[np.ndarray, np.ndarray]:
-    """Train on windows of a bounded sample; then add the windows the model gets wrong there, MINING times."""
+    """Train on windows of a bounded sample; then add the harmless windows the model gets wrong there, MINING times.
+
+    The sample has two halves, and a model of each judges what is mined from the other; it learns only
+    what was mined from its own.
+    """
     sample = Scratch(spark).put(sample_of(documents, documents.count()).repartition(SAMPLE_TASKS, "doc_id"))  # a bounded number of rows
-    trainer = Trainer()
-    trainer.add(training_windows(sample))
-    model = trainer.learn()
+    fold = F.pmod(F.xxhash64("doc_id", F.lit(SEED + 1)), F.lit(MINING))
+    halves = [training_windows(sample.filter(fold % 2 == h), TRAIN_WINDOWS // 2) for h in (0, 1)]
+    trainer, apart = Trainer(), (Trainer(), Trainer())
+    for one, windows in zip(apart, halves, strict=True):
+        one.add(windows)
+        trainer.add(windows)
+    model, models = trainer.learn(), [one.learn() for one in apart]
     for k in range(MINING):
-        part = sample.filter(F.pmod(F.xxhash64("doc_id", F.lit(SEED + 1)), F.lit(MINING)) == k)
-        trainer.add(hard_windows(spark, part, model) * 2)
-        model = trainer.learn()
+        found = hard_windows(spark, sample.filter(fold == k), model, models[1 - k % 2]) * 2
+        trainer.add(found)
+        apart[k % 2].add(found)
+        model, models[k % 2] = trainer.learn(), apart[k % 2].learn()
     return model
 
 

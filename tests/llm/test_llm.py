@@ -165,6 +165,21 @@ def test_the_model_decides(spark):
     assert abs(score[1] - 1 / (1 + np.exp(-1))) < 1e-6 and score[2] < 0.1
 
 
+def test_abuse_without_cues_is_not_trained_as_harmless(spark):
+    said = ["you should be dragged out of your home and burned", "people like you should be locked up and left to rot"]
+    plain = "the harbour was built in spring and sold again when the mill on the river closed"
+    assert not any(abuse.CUES.search(t) for t in said)
+    d = spark.createDataFrame([(i, "a", f"{plain} {said[i % 2]}" if i % 3 == 0 else plain) for i in range(60)], "doc_id bigint, source string, text string")
+    score = abuse.scorer(abuse.fit(spark, d))([*said, plain])
+    assert (score[:2] >= abuse.THRESHOLD).all() and score[2] < abuse.THRESHOLD
+
+
+def test_cues_know_kinds_of_abuse():
+    bad = ["i will murder you", "those people deserve to be shot", "immigrants are nothing but lice", "gas every last one of them", "he was licking her nipples", "je vais te tuer"]
+    fine = ["the beetles are insects", "he was shot by the police", "you are kind", "they need to be fed", "the army killed the defenders"]
+    assert all(abuse.CUES.search(t) for t in bad) and not any(abuse.CUES.search(t) for t in fine)
+
+
 # Queries
 
 
