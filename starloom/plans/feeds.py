@@ -59,6 +59,18 @@ def cdc_split_by_op(s: Star) -> DataFrame:
     return changefeed.split_by_operation(_window(s), F.col("operation")).groupBy("operation_name").agg(F.count(F.lit(1)).alias("changes"))
 
 
+@report(f"WITH {_LOG} SELECT key, lsn, operation, value FROM log QUALIFY row_number() OVER (PARTITION BY key ORDER BY lsn DESC) = 1")
+def cdc_net_changes_whole(s: Star) -> DataFrame:
+    """The last change of each key over the whole log."""
+    return changefeed.net_changes(_log(s), ["key"], ["lsn"], ["operation", "value"])
+
+
+@report(f"WITH {_LOG} SELECT CASE operation WHEN 1 THEN 'delete' WHEN 2 THEN 'insert' ELSE 'update' END AS operation_name, count(*) AS changes FROM log GROUP BY ALL")
+def cdc_split_by_op_whole(s: Star) -> DataFrame:
+    """Changes by operation over the whole log."""
+    return changefeed.split_by_operation(_log(s), F.col("operation")).groupBy("operation_name").agg(F.count(F.lit(1)).alias("changes"))
+
+
 _TX = "tx AS (SELECT *, (event_id // 7)::BIGINT AS lsn FROM events)"
 
 

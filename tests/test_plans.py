@@ -27,3 +27,10 @@ def test_scans_read_what_is_used(spark, sf):
 def test_versions_are_combined_before_the_shuffle(spark, sf):
     said = plan(spark, sf, "tombstone_count")
     assert "partial_max" in said
+
+
+def test_changes_are_read_over_the_whole_log(spark, sf):
+    events = spark.read.parquet(f"{sf}/events*")
+    last = {r["user_id"]: r["lsn"] for r in events.groupBy("user_id").agg({"event_id": "max"}).withColumnRenamed("max(event_id)", "lsn").collect()}
+    assert last and {r["key"]: r["lsn"] for r in registry.QUERIES["cdc_net_changes_whole"](spark, sf).collect()} == last
+    assert sum(r["changes"] for r in registry.QUERIES["cdc_split_by_op_whole"](spark, sf).collect()) == events.count()
