@@ -125,17 +125,17 @@ def net_changes(changes: DataFrame, keys: list[str], position: list[str], values
     return changes.groupBy(*keys).agg(best).select(*keys, *(F.col(f"__sl_b.{c}").alias(c) for c in [*position, *values]))
 
 
-def whole_transactions(changes: DataFrame, lsn: str, last: str | int | None, most_rows: int) -> DataFrame:
+def whole_transactions(changes: DataFrame, lsn: str, last: str | int | None, most_rows: int, bucket: Column) -> DataFrame:
     """The next transactions after ``last``: as many as have ``most_rows`` rows together, and always at least one.
 
     A transaction is never cut.  Rows are counted per position first, so the window sees
-    positions, not rows.
+    positions, not rows; bucket is a function of the position that must not fall as it rises.
     """
     c = changes if last is None else changes.filter(F.col(lsn) > F.lit(last))
     sizes = c.groupBy(lsn).count()
     from starloom.operators.ordering import running_sum
 
-    upto = running_sum(sizes, [], lsn, "count", "__sl_sum")
+    upto = running_sum(sizes, [], [lsn], "count", "__sl_sum", bucket)
     upto = upto.filter((F.col("__sl_sum") <= most_rows) | (F.col("__sl_sum") == F.col("count"))).select(lsn)
     return c.join(upto, lsn, "left_semi")
 

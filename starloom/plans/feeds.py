@@ -11,7 +11,6 @@ from pyspark.sql import functions as F
 
 from starloom.functions.values import net_amount
 from starloom.operators import changefeed, facts, pipeline
-from starloom.operators.ordering import running_sum
 from starloom.plans.star import F_SQL, Star
 from starloom.sources.connectors import publishable
 
@@ -78,9 +77,7 @@ _TX = "tx AS (SELECT *, (event_id // 7)::BIGINT AS lsn FROM events)"
 def cdc_capped_window(s: Star) -> DataFrame:
     """The next whole transactions of seven changes each, up to 1000 rows."""
     tx = s.raw("events").withColumn("lsn", F.floor(F.col("event_id") / 7).cast("bigint")).select("event_id", "lsn")
-    sizes = tx.filter("lsn > 100").groupBy("lsn").count()
-    upto = running_sum(sizes, [], ["lsn"], "count", "upto", F.floor(F.col("lsn") / 10_000))
-    return tx.join(upto.filter("upto <= 1000 or upto = count").select("lsn"), "lsn", "left_semi").select("event_id", "lsn")
+    return changefeed.whole_transactions(tx, "lsn", 100, 1000, F.floor(F.col("lsn") / 10_000))
 
 
 @report("SELECT rtrim(capture_instance) AS capture_instance, count(*) AS changes, count(DISTINCT lower(ltrim(start_lsn, '0x'))) > 0 AS any_lsn FROM order_changes GROUP BY ALL")

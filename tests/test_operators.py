@@ -330,3 +330,12 @@ def test_values(spark):
     assert (z["a"], z["b"], z["c"], str(z["d"])) == (0, "", None, "0.0000")
     n = spark.range(1).select(net_amount(F.lit("12.6").cast("decimal(19,4)"), F.lit(4), F.lit(0.05).cast("float"))).first()[0]
     assert str(n) == "47.8800"
+
+
+def test_whole_transactions(spark):
+    """As many as fit the cap, and one longer than the cap whole."""
+    from starloom.operators.changefeed import whole_transactions
+
+    d = spark.createDataFrame([(lsn, i) for lsn, n in [(1, 2), (2, 9), (3, 1), (25, 2), (26, 3)] for i in range(n)], "lsn bigint, i int")
+    read = lambda last: sorted(r["lsn"] for r in whole_transactions(d, "lsn", last, 5, F.floor(F.col("lsn") / 10)).collect())
+    assert read(None) == [1] * 2 and read(1) == [2] * 9 and read(2) == [3, 25, 25] and read(26) == []
