@@ -45,7 +45,8 @@ def p8_fill(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _mixture(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     counts = _counts(spark, sf_dir, weight=True)
-    plan = mixing.budgets(counts, load(spark, sf_dir, "source_targets").withColumn("source", F.rtrim("source")))
+    total = counts.agg(F.sum("tokens")).first()[0] or 0  # all there are, so that small sources run to their cap
+    plan = mixing.budgets(counts, load(spark, sf_dir, "source_targets").withColumn("source", F.rtrim("source")), total)
     return mixing.mix(spark, counts, plan), plan
 
 

@@ -196,3 +196,12 @@ def test_scores_cover_all_documents(spark, sf):
     assert d.count() == load(spark, sf, "documents").count() and d.filter("score is null or score < 0 or score > 1").count() == 0
     assert QUERIES["p10_found"](spark, sf).columns == ["doc_id"]
     assert QUERIES["p8_fill"](spark, sf).filter(F.col("fill") < 0.9).count() <= 1
+
+
+def test_mixture_repeats_small_sources_to_their_cap(spark, sf):
+    rows = QUERIES["p9_shares"](spark, sf).collect()
+    total = sum(r["available"] for r in rows)
+    for r in rows:
+        assert abs(r["budget"] - min(int(r["target_share"] * total + 0.5), r["available"] * r["max_repeats"])) <= 1
+    assert any(r["most_copies"] == r["max_repeats"] > 0 and r["drawn_tokens"] == r["available"] * r["max_repeats"] for r in rows)
+    assert max(r["most_copies"] for r in rows) > 1
