@@ -6,16 +6,16 @@ and skip-grams.  The model is trained on windows of WINDOW tokens and a document
 its worst window, wherever it stands, so one sentence in a long text counts as much as in a short
 one.
 
-There are no labels in the data.  Windows of a bounded sample of documents are labelled by the cue
-patterns below, which know phrases, not documents; EXAMPLES adds windows for both classes.  The model
-then scores all documents.  Per-coordinate learning rates let rare phrases learn fast, and the L1
-term keeps all but a few thousand weights at zero, so the broadcast model stays small however large
-the corpus.
+There are no labels in the data and none are made from it by hand.  The model starts from sentences
+built by rule from general vocabulary (phrases.py), abusive and harmless.  Windows of a bounded sample
+of documents are then added: as harmless those for which a model that never saw their half of the
+sample finds no sign of abuse, as abusive those of which both models are sure.  What lies between stays
+unlabelled.  The model's score alone decides.  Per-coordinate learning rates let rare phrases learn
+fast, and the L1 term keeps the broadcast model small however large the corpus.
 """
 
 from __future__ import annotations
 
-import bisect
 import re
 import unicodedata
 import zlib
@@ -28,6 +28,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from starloom.llm import phrases
 from starloom.sources.tables import Scratch
 
 WINDOW = 14  #: tokens of a training window
@@ -37,27 +38,20 @@ BITS = 20
 SAMPLE_DOCS = 4_000  #: expected number of documents whose windows may be used for training
 SAMPLE_TASKS = 16
 TRAIN_WINDOWS = 40_000  #: most windows sent to the driver
-THRESHOLD = 0.5
+THRESHOLD = 0.5  #: score from which a document is flagged
 POSITIVE = 2.0
 MARGIN = 3.0
-OTHERS = 0.03  #: share of windows without listed words that are used
-MINING = 6  #: rounds of adding windows the model gets wrong
+OTHERS = 0.15  #: share of the sample's windows that are used as background
+ROUNDS = 2  #: times each sampled document's worst window is looked at
 HARD = 0.15  #: score from which a window is worth learning
+SURE, UNSURE, UNLIKELY = 0.9, 0.7, 0.3  #: scores that label a window: see label_of
+BATCH = 64  #: windows of a learning step
+PASSES = 6
 CACHE = 200_000  #: chunks a worker remembers
 SEED = 10
 OVERLAP = WINDOW + 3
 BLOCK = 200_000  #: tokens scored at a time; longer texts are cut into blocks that overlap by a window
 
-# Words that insult, degrade or are sexually explicit, to which disguised spellings are led back.
-WORDS = """
-anal anus arschloch arsehole ass asshole assholes bastard bastards basura bitch bitches bite bloody blowjob bollocks cabron cock cocks cockroaches coño connard
-connasse crap creampie cretin cretins cum cumshot cunt cunts damn dick dickhead dickheads dildo douchebag dumbass enculer enculé fag faggot fick ficken fickt filth filthy foutre fotze
-fresse fuck fucked fucker fuckers fucking fucks gangbang garbage gilipollas goddamn hure hurensohn idiot idioten idiots imbecil imbecile imbeciles jerk kike loser losers
-maricon merde mierda milf milfs missgeburt moron morons motherfucker nazi neger nigger nique orgasm parasite parasites pendejo perra pervert perverts pig pigs piss polla porn prick pricks puta putain
-pute puto pussy rape retard retarded retards salope salaud scheisse schlampe schlampen schwein schwuchtel scum scumbag scumbags sex shit shithead shitheads shitty skank slag slut sluts spic
-stupid subhuman tits trottel twat twats ungeziefer vermin vermine wanker wankers whore whores wichser xxx zorra
-""".split()
-
 # Letters of other alphabets that look like Latin ones, and what digits stand for in a word.
 LOOKALIKES = str.maketrans("авеосрхуіјѕԁӏкмнтпигԛԝαβεικνορτυχωϲ", "abeocpxyijsdlkmhtnurqwabeiknoptuxwc")
 DIGITS = {"0": "o", "1": "il", "2": "z", "3": "e", "4": "a", "5": "s", "6": "bg", "7": "t", "8": "b", "9": "g", "v": "u", "!": "i", "|": "il", "€": "e", "$": "s"}
@@ -75,7 +69,16 @@ def _flat(word: str) -> str:
     return _RUN.sub(r"\1", word)
 
 
-_KNOWN = frozenset(WORDS)
+def _folded(word: str) -> str:
+    """In lower case, without accents and invisible signs, look-alike letters as Latin ones."""
+    if not word.isascii():
+        word = unicodedata.normalize("NFKD", word.translate(LOOKALIKES))
+        word = "".join(c for c in word if not unicodedata.combining(c) and unicodedata.category(c) != "Cf").translate(LOOKALIKES)
+    return word
+
+
+#: Words that insult, degrade or are sexually explicit; disguised spellings are led back to them.
+_KNOWN = frozenset(map(_folded, phrases.vocabulary()))
 _BY_FLAT: dict[str, str] = {}
 for _w in sorted(_KNOWN, key=lambda w: (len(w), w), reverse=True):
     if len(_w) > 2:
@@ -121,9 +124,7 @@ def _known(part: str) -> str | None:
         for spelling in (part.replace("v", "u"), flat, flat.replace("v", "u")):
             if spelling in _KNOWN and len(spelling) > 2:
                 return spelling
-        if len(flat) > 3 and flat not in _FLAT_WORDS:
-            return _BY_FLAT.get(flat) or _BY_FLAT.get(flat.replace("v", "u"))
-        return None
+        return (_BY_FLAT.get(flat) or _BY_FLAT.get(flat.replace("v", "u"))) if flat != part and len(flat) > 3 else None
     if len(part) > 2 and (word := _alike(part, _STARTS)):
         return word
     if flat != part and len(flat) > 2 and (key := _alike(flat, _FLAT_STARTS)):
@@ -131,18 +132,11 @@ def _known(part: str) -> str | None:
     return None
 
 
-#: Words that are the flat form of a listed word but words of their own (fixed values).
-_FLAT_WORDS = frozenset("as fagot imbecil piso pis crap cras".split())
-
-
 def words_of(chunk: str) -> list[str]:
     """The word tokens of a chunk without blanks, in lower case and with disguises undone."""
     if chunk.isdigit():
         return ["0"]
-    if not chunk.isascii():
-        chunk = unicodedata.normalize("NFKD", chunk.translate(LOOKALIKES))
-        chunk = "".join(c for c in chunk if not unicodedata.combining(c) and unicodedata.category(c) != "Cf").translate(LOOKALIKES)
-    core = chunk.strip(_EDGE).rstrip(".!?,")
+    core = _folded(chunk).strip(_EDGE).rstrip(".!?,")
     if not core:
         return []
     if core.isalpha():
@@ -292,13 +286,17 @@ class Ftrl:
         w = -(z - np.sign(z) * l1) / ((self.beta + np.sqrt(self.n[i])) / self.alpha + self.l2)
         return np.where(np.abs(z) <= l1, 0.0, w)
 
-    def learn(self, i: np.ndarray, label: int, importance: float) -> None:
-        w = self.weights(i)
-        p = 1 / (1 + np.exp(-np.clip(w.sum() + BIAS, -30, 30)))
-        g = (p - label) * importance
-        sigma = (np.sqrt(self.n[i] + g * g) - np.sqrt(self.n[i])) / self.alpha
-        self.z[i] += g - sigma * w
-        self.n[i] += g * g
+    def learn(self, windows: list[np.ndarray], labels: np.ndarray, importance: np.ndarray) -> None:
+        """One step over a batch; the gradients of a coordinate are added up first."""
+        flat, sizes = np.concatenate(windows), np.array([len(x) for x in windows])
+        at, where = np.unique(flat, return_inverse=True)
+        w = self.weights(at)
+        total = np.bincount(np.repeat(np.arange(len(windows)), sizes), w[where], len(windows))
+        g = (1 / (1 + np.exp(-np.clip(total + BIAS, -30, 30))) - labels) * importance
+        g = np.bincount(where, np.repeat(g, sizes), len(at))
+        sigma = (np.sqrt(self.n[at] + g * g) - np.sqrt(self.n[at])) / self.alpha
+        self.z[at] += g - sigma * w
+        self.n[at] += g * g
 
     def model(self) -> tuple[np.ndarray, np.ndarray]:
         w = self.weights(slice(None))
@@ -308,204 +306,44 @@ class Ftrl:
 
 # Labels
 
-# Words and phrases from which windows of the training sample get their labels.
-_STRONG = """arschloch arsehole asshole assholes blowjob cabron connard connasse cretin cretins cunt cunts dickhead dickheads douchebag enculer fag faggot fick ficken fickt foutre fotze fuck fucked
-fucker fuckers fucking fucks gilipollas goddamn hure hurensohn maricon merde mierda milf milfs missgeburt moron morons motherfucker nigger pendejo polla puta pute pussy retard retarded retards salope scumbag
-scumbags shit shithead shitheads shitty skank slut sluts twat twats wanker wankers whore whores wichser xxx schlampe imbecil""".split()
-_NOUN = "idiot idiots bastard bastards bitch bitches pig pigs slag prick pricks loser losers parasite parasites pervert perverts scum filth garbage vermin trottel schwein cock dick tits"
-_ADJECTIVE = "fat ugly lying filthy fucking bloody shitty stupid spineless drooling dead worthless pathetic goddamn dumbest utter lazy dirty verdammter gros sale hard wet"
-_THEM = "vermin|cockroaches|animals|scum|garbage|half breeds|plague|a plague|disease|a disease|an inferior race|lazy thieves|subhuman|parasites|rats|rapists"
-_CUES = [
-    rf"\b(?:{'|'.join(_STRONG)})\b",
-    rf"\b(?:{'|'.join(_ADJECTIVE.split())}) (?:{'|'.join(_NOUN.split())})\b",
-    rf"\b(?:you|i|hereby|reverted|page|me|he|she|is|are|was) (?:\w+ )?(?:such an?|just an?|nothing but an?|complete and utter|a bunch of) (?:\w+ ){{0,3}}(?:{'|'.join(_NOUN.split())})\b",
-    rf"\byou (?:\w+ ){{0,2}}(?:{'|'.join(_NOUN.split())})\b",
-    rf"\b(?:always were|never be more than|they are|all \w+(?: \w+)? are|so called \w+(?: \w+){{0,3}} are|\w+ \w+ are|the \w+ are) (?:{_THEM})\b(?! poison)",
-    r"\bsubhuman\b|\bbegged to be taken\b|\bspread her legs\b|\bpushed deep inside\b|\bnaked \w+ in \w+ want\b|\bcum and anal\b|\bmoaned as (?:he|she)\b|\bjusqu'?a? ?a? ?ce qu'? ?il jouisse\b|\bjouisse\b|\bbis er kam\b|\bsuca la bite\b|\bmetio la polla\b|\bella gemia\b|\bhard cock in\b|\bsucks dick\b",
-    r"\bbreak your (?:jaw|neck|legs)\b|\bwhere you live\b.*\bbeat you\b|\bgoing to beat you\b|\bgo die\b|\bwould miss you\b|\bfavour and end it\b|\bkill yourself\b|\bdragged out and hanged\b|\bhanged from the\b|\brot in hell\b|\bschlage dich tot\b|\bwo du wohnst\b|\bte crever\b|\bdonde vives\b|\bvoy a matar\b|\bhalt die fresse\b|\bshut your mouth\b",
-    r"\bhave exterminated the\b|\blast of the \w+(?: \w+){0,3} is in the ground\b|\bbelong among decent\b|\bput them down like\b|\bborn thieves\b|\bspit on them\b|\bbe kept in cages\b|\bbe wiped out\b|\bburned out of their homes\b|\bdeserve every beating\b|\bnobody should marry\b|\blet them breed\b|\bback in the kitchen\b|\bdriven out of \w+ ?\b(?<=vermin and should be driven out of )|\bvermin and should\b",
-    r"\bsont de la vermine\b|\bfaut tous les eliminer\b|\bson basura\b|\bhay que exterminar\w*\b|\bsind ungeziefer\b|\bgehoren vernichtet\b|\bungeziefer und\b",
-]
-_PEOPLE = r"(?:these|those) (?:\w+ )?people|immigrants|migrants|foreigners|refugees|women|jews|muslims|christians|blacks|whites|gays|lesbians|gypsies"
-# Patterns of kinds of abuse, in wordings that no sentence here has.
-_KINDS_OF_ABUSE = [
-    r"\b(?:i|we|ll|gonna|going to|will|shall|should|want to) (?:\w+ ){0,2}(?:kill|murder|rape|stab|strangle|shoot|beat|gut|behead|lynch) (?:you|u|ya)\b",
-    r"\b(?:hang|shoot|drown|hurt) (?:yourself|urself|yourselves)\b|\b(?:hope|wish) (?:\w+ ){0,2}(?:you|u) (?:\w+ ){0,2}(?:die|burn|suffer|rot|get raped|get cancer)\b",
-    rf"\b(?:you|they|{_PEOPLE}) (?:\w+ ){{0,2}}(?:deserve|need|ought) to (?:die|be (?:shot|hanged|killed|gassed|exterminated|raped|beaten|put down|lynched))\b",
-    rf"\b(?:you|{_PEOPLE}) (?:are|re) (?:all |nothing but |just |no better than |like )*(?:vermin|cockroaches|rats|apes|monkeys|savages|insects|lice|maggots|filth|trash|garbage|a cancer|a plague|a disease)\b",
-    r"\b(?:wipe out|exterminate|eradicate|gas|lynch|shoot) (?:them all|all of them|every (?:last )?one of them)\b",
-    r"\byou (?:are|re) (?:\w+ ){0,2}(?:pathetic|worthless|disgusting|brainless|repulsive)\b",
-    r"\b(?:suck|sucked|sucking|lick|licked|licking|stroked|stroking|rode|riding) (?:on )?(?:his|her|my|your) (?:\w+ ){0,2}(?:cock|dick|shaft|clit|nipples?|breasts|tits|balls|pussy)\b",
-    r"\b(?:cum|came|coming) (?:inside|all over|in|on) (?:her|him|his|my|your) (?:face|mouth|tits|breasts|ass|belly)\b|\bsend (?:me )?(?:your )?nudes\b",
-    r"\b(?:ich|wir) (?:\w+ ){0,3}(?:dich|euch) (?:\w+ ){0,2}(?:umbringen|toten|totschlagen|abstechen|erschiessen)\b|\bbringe? (?:dich|euch) um\b",
-    r"\bje (?:vais|veux) (?:te|vous) (?:tuer|egorger|buter|violer)\b|\bva (?:crever|mourir)\b|\b(?:te|os) (?:voy|vamos) a (?:violar|reventar|degollar)\b|\bojala te mueras\b",
-]
-CUES = re.compile("|".join(f"(?:{c})" for c in _CUES[:7] + [_CUES[7].replace(r"|\bdriven out of \w+ ?\b(?<=vermin and should be driven out of )", "")] + _CUES[8:] + _KINDS_OF_ABUSE))
-# Words for whom a window may be aimed at; one that holds any is no evidence of harmlessness.
+# Pronouns and people a window may be aimed at.
 TARGETS = frozenset(
     """you your yours yourself yourselves u ur he him she her they them their these those people women woman men girl girls boy boys immigrants migrants foreigners refugees jews muslims
-    christians blacks whites gays lesbians gypsies du dich dir dein deine deinen ihr euch euer eure sie ihnen diese frauen leute tu te toi ton ta tes vous votre vos ils elles eux ces femmes gens
+    christians blacks whites gays lesbians gypsies dich dir dein deine deinen ihr euch euer eure sie ihnen diese frauen leute tu te toi ton ta tes vous votre vos ils elles eux ces femmes gens
     ti tus usted ustedes vosotros ellos ellas estos esos mujeres gente""".split()
 )
 
-# Windows written for training, abusive and harmless ones that share words.
-ABUSIVE = """you are a complete idiot and everybody knows it
-what a stupid bitch she is
-go and kill yourself you pathetic loser
-these people are vermin and should be wiped out
-they are animals and must be driven out of our town
-I know where you live and I will break your legs
-she sucked his hard cock and swallowed
-du bist ein dummes Schwein halt die Fresse
-tu es une sale pute va te faire foutre
-eres un hijo de puta y un imbécil
-todos ellos son basura hay que exterminarlos
-ces gens sont de la vermine il faut les éliminer
-diese Leute sind Ungeziefer und gehören vernichtet
-shut up you fat pig nobody likes you
-the admins are a bunch of lying bastards
-one day I will murder you in your sleep
-we are gonna stab you and your children
-I hope you get cancer and die slowly
-you people are worse than rats and maggots
-those foreigners are savages who deserve to be shot
-round them up and gas every last one of them
-you are a disgusting brainless excuse for a human
-women are only good for one thing
-he came all over her face while she licked his shaft
-send me your nudes and touch yourself for me
-wir werden dich umbringen
-je vais te tuer toi et ta famille
-ojalá te mueras te voy a degollar""".splitlines()
-PHRASES = """everyone in town knows that this person is a fucking idiot
-shut your mouth or I will break your jaw
-I know where you live and I am going to beat you until you stop breathing
-nobody would miss you do everyone a favour and end it
-go die in a ditch
-people like this should be dragged out and hanged from the bridge
-rot in hell you worthless piece of shit
-we should have exterminated them when we had the chance
-only when the last of them is in the ground will the town be clean again
-they do not belong among decent people send them back or put them down like dogs
-never trust one of them they are born thieves and rapists
-they will never be more than half breeds so spit on them when you see them
-they always were an inferior race and nobody should marry one
-they are a plague who should be kept in cages
-they are a disease and must be wiped out
-they ought to be burned out of their homes
-they deserve every beating they get
-subhuman filth do not let them breed
-get back in the kitchen you are too stupid to read
-she spread her legs for him and begged to be taken from behind
-he moaned as he pushed deep inside her wet pussy until they both came
-she pulled down his trousers and took his hard cock in her mouth
-he grabbed her tits and fucked her
-hot naked milfs want to fuck you tonight xxx cams free
-she loves cum and anal with strangers
-she sucks dick behind the station for money
-your mother is a whore
-ich weiß wo du wohnst ich schlage dich tot
-halt die Fresse du dumme Schlampe
-sie ist eine Hure und fickt jeden
-ihr seid alle Wichser
-ist ein verdammter Idiot und ein Arschloch
-je vais te retrouver et te crever
-il lui suça la bite jusqu'à ce qu'il jouisse
-est un gros connard
-sé dónde vives y te voy a matar a golpes
-es un gilipollas y un cabrón
-vete a la mierda imbécil
-le metió la polla hasta el fondo y ella gemía""".splitlines()
-
 
 def written_windows() -> list[tuple[str, int]]:
-    """Windows written for training: the examples, the phrases, the strong words, and insults of an adjective and a noun."""
+    """The rule-built sentences, as the reader reads them."""
     reader = Reader()
-    out = [(" ".join(reader.words(t)), y) for t, y in [(t, 1) for t in ABUSIVE + PHRASES] + [(t, 0) for t in HARMLESS]]
-    adjectives, nouns = _ADJECTIVE.split(), _NOUN.split() + [w for w in _STRONG if w.endswith(("head", "hole", "bag", "er", "at", "ut", "nk", "on", "in", "rd"))]
-    frames = ["you are a {} {}", "is nothing but a {} {}", "was such a {} {}", "is just a {} {} and everybody knows it"]
-    for i, noun in enumerate(nouns):
-        for k, frame in enumerate(frames):
-            out.append((frame.format(adjectives[(i + 5 * k) % len(adjectives)], noun), 1))
-    return out + [(w, 1) for w in _STRONG]
-
-
-HARMLESS = """the word idiot is first recorded as an insult in the sixteenth century
-he is told that he is a fool and is later killed by bandits
-the great tit and the blue footed booby are birds of the coast
-the bitch of the shepherd breed weighs twelve kilograms and the cock crows at dawn
-the poison kills vermin and rats within three days
-they were persecuted for decades and thousands of them were murdered
-hate speech laws were passed and attacks on the group became punishable
-symptoms include pain in the breast the penis or the vagina
-clinics offer advice on contraception pregnancy and sexual health
-the army destroyed the town and killed the defenders
-I disagree with this edit it is plain wrong and rather silly
-this page is boring lol this is all wrong hi mum poop
-le dépistage du cancer du sein et la campaña contra el cáncer de mama
-le coq et la poule el gallo y la perra pastora son razas antiguas
-Dick Cumming and Anna Cockburn ran the school in Scunthorpe
-a wild ass was kept in the park and the nude in bronze stood before the museum
-sexual reproduction begins in the third year and asexual budding is more common
-you can send your photographs to the archive and they will be shown to people
-if you hope to see them you should come before the rats and insects do
-she was shot by the police and he died of cancer
-according to the census 400 people lived in the village and worked on farms nearby
-the women of the town were killed and their children were sent to another family
-vous pouvez visiter la ville et te reposer
-Sie können dich und deine Familie besuchen
-te voy a contar la historia de los ellos y sus familias""".splitlines()
+    return [(" ".join(reader.words(t)), y) for t, y in phrases.sentences()]
 
 
 def _hash01(text: str) -> float:
     return zlib.crc32(text.encode("utf-8", "ignore")) / 2**32
 
 
-def _spans(words: list[str]) -> list[tuple[int, int]]:
-    """First and last word of each cue in the text."""
-    at, starts = 0, []
-    for w in words:
-        starts.append(at)
-        at += len(w) + 1
-    found = [(m.start(), m.end()) for m in CUES.finditer(" ".join(words))]
-    return [(bisect.bisect_right(starts, a) - 1, bisect.bisect_right(starts, b - 1) - 1) for a, b in found]
-
-
-def windows_of(reader: Reader, text: str, doc_id: int, others: float) -> Iterator[tuple[str, int]]:
-    """Training windows of a text as (words joined by blanks, label).
-
-    Label 1: windows that hold a cue.  Label 0: windows near no cue that hold a listed word, and of
-    the rest the given share, chosen by hash.
-    """
+def background_of(reader: Reader, text: str, doc_id: int, share: float = OTHERS) -> Iterator[str]:
+    """Windows of a text without listed words, the given share of them, chosen by hash."""
     words = reader.words(text)
-    spans = _spans(words)
-    for a, b in spans:
-        for start in sorted({max(0, a - 4), max(0, b + 1 - WINDOW), a}):
-            yield " ".join(words[start : start + WINDOW]), 1
-    near = {i for a, b in spans for i in range((a - 2 * WINDOW) // WINDOW, (b + WINDOW) // WINDOW + 1)}
-    for k, start in enumerate(range(0, len(words), WINDOW)):
+    for start in range(0, len(words), WINDOW):
         w = words[start : start + WINDOW]
-        if k not in near and (not _KNOWN.isdisjoint(w) or _hash01(f"{doc_id}|{start}") < others):
-            yield " ".join(w), 0
+        if _hash01(f"{doc_id}|{start}") < share and _KNOWN.isdisjoint(w):
+            yield " ".join(w)
 
 
-def hard_window(reader: Reader, score, outside, text: str) -> str | None:
-    """The window the model thinks worst in a text without cues, if it thinks it bad and there is evidence that it is harmless.
+def label_of(words: list[str], inside: float, outside: float) -> int | None:
+    """1, 0 or None (unlabelled) for a window, from two scores.
 
-    Evidence: it holds no listed word and none that it could be aimed at, and outside, a model that
-    has seen neither the text nor its half of the sample, scores it below the threshold.  Without, it
-    stays unlabelled.
+    outside is the score of a model that has not seen the window's half of the sample.  Abusive: both
+    models are SURE, and it holds a listed word or somebody it could be aimed at.  Harmless: the model
+    outside finds it UNLIKELY, or it holds neither and that model is UNSURE.
     """
-    words = reader.words(text)
-    if not words or CUES.search(" ".join(words)):
-        return None
-    end, length = score([text], ends=True)[0]
-    if end < 0:
-        return None
-    w = words[end + 1 - length : end + 1]
-    if not (_KNOWN.isdisjoint(w) and TARGETS.isdisjoint(w)) or outside([" ".join(w)])[0] >= THRESHOLD:
-        return None
-    return " ".join(w)
+    charged = not (_KNOWN.isdisjoint(words) and TARGETS.isdisjoint(words))
+    if charged and min(inside, outside) >= SURE:
+        return 1
+    return 0 if outside < (UNLIKELY if charged else UNSURE) else None
 
 
 def sample_of(documents: DataFrame, total: int, sample_docs: int = SAMPLE_DOCS) -> DataFrame:
@@ -515,34 +353,44 @@ def sample_of(documents: DataFrame, total: int, sample_docs: int = SAMPLE_DOCS)
     return documents.filter((u < share) & F.col("doc_id").isNotNull() & F.col("text").isNotNull()).select("doc_id", "text")
 
 
-def _bounded(windows: DataFrame, most: int) -> list[tuple[str, int]]:
-    d = windows.groupBy("window").agg(F.max("label").alias("label")).orderBy(F.xxhash64("window"), "window").limit(most).toPandas()
-    return list(zip(d["window"], d["label"].astype(int), strict=True))
+def _bounded(windows: DataFrame, most: int) -> list[tuple[str, int, int]]:
+    """(window, label, half): at most ``most`` distinct windows, chosen by hash."""
+    d = windows.groupBy("window", "half").agg(F.max("label").alias("label")).orderBy(F.xxhash64("window"), "window", "half").limit(most).toPandas()
+    return list(zip(d["window"], d["label"].astype(int), d["half"].astype(int), strict=True))
 
 
-def training_windows(sample: DataFrame, most: int = TRAIN_WINDOWS) -> list[tuple[str, int]]:
-    """At most ``most`` labelled windows of the sample."""
+def background(sample: DataFrame, most: int = TRAIN_WINDOWS) -> list[tuple[str, int, int]]:
+    """At most ``most`` background windows of the sample."""
 
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         reader = Reader()
         for b in batches:
-            rows = [x for d, t in zip(b["doc_id"], b["text"], strict=True) for x in windows_of(reader, t, int(d), OTHERS)]
-            yield pd.DataFrame(rows, columns=["window", "label"])
+            rows = [(w, h) for d, t, h in zip(b["doc_id"], b["text"], b["half"], strict=True) for w in background_of(reader, t, int(d))]
+            yield pd.DataFrame(rows, columns=["window", "half"]).assign(label=0)
 
-    return _bounded(sample.mapInPandas(cut, "window string, label int"), most)
+    return _bounded(sample.mapInPandas(cut, "window string, half int, label int"), most)
 
 
-def hard_windows(spark: SparkSession, sample: DataFrame, model: tuple, outside: tuple, most: int = TRAIN_WINDOWS) -> list[tuple[str, int]]:
-    """The worst window of each sampled document, as harmless, where hard_window finds evidence of that."""
-    shared = spark.sparkContext.broadcast((model, outside))
+def worst_windows(spark: SparkSession, sample: DataFrame, model: tuple, halves: list[tuple], most: int = TRAIN_WINDOWS) -> list[tuple[str, int, int]]:
+    """The worst window of each sampled document that label_of can label, with its label."""
+    shared = spark.sparkContext.broadcast((model, halves))
 
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        reader, score, other = Reader(), *map(scorer, shared.value)
+        reader, weights = Reader(), dense(shared.value[0])
+        outside = [scorer(m) for m in shared.value[1][::-1]]
         for b in batches:
-            rows = [w for t in b["text"] if (w := hard_window(reader, score, other, t))]
-            yield pd.DataFrame({"window": pd.Series(rows, dtype=object), "label": 0})
+            rows = []
+            for text, half in zip(b["text"], b["half"], strict=True):
+                words = reader.words(text)
+                score, start, end = worst_window(weights, words)
+                if score >= HARD:
+                    w = words[start:end]
+                    label = label_of(w, score, outside[half]([" ".join(w)])[0])
+                    if label is not None:
+                        rows.append((" ".join(w), half, label))
+            yield pd.DataFrame(rows, columns=["window", "half", "label"])
 
-    return _bounded(sample.mapInPandas(cut, "window string, label int"), most)
+    return _bounded(sample.mapInPandas(cut, "window string, half int, label int"), most)
 
 
 class Trainer:
@@ -552,57 +400,83 @@ class Trainer:
         self.ftrl, self.order = Ftrl(), np.random.default_rng(SEED)
         self.x: list[np.ndarray] = []
         self.y: list[int] = []
-        self.add(written_windows() * 2)
+        self.add(written_windows())
 
     def add(self, windows: list[tuple[str, int]]) -> None:
         for text, label in windows:
             t = np.array([token_hash(w) for w in text.split()], np.int64)
-            f = np.unique(features(t, np.arange(len(t))))
-            self.x.append(f[f >= 0])
-            self.y.append(label)
+            f = features(t, np.arange(len(t))).ravel()  # a feature counts as often as it occurs, as in scoring
+            if len(f):
+                self.x.append(f[f >= 0])
+                self.y.append(label)
 
-    def learn(self, passes: int = 6) -> tuple[np.ndarray, np.ndarray]:
+    def learn(self, passes: int = PASSES) -> tuple[np.ndarray, np.ndarray]:
         """Learn from the windows the model gets wrong, or right by less than MARGIN; abusive ones count POSITIVE times.
 
         Returns the non-zero weights: positions and values.
         """
-        sign = 2 * np.array(self.y) - 1
+        y = np.array(self.y)
         flat, starts = np.concatenate(self.x), np.cumsum([0] + [len(x) for x in self.x[:-1]])
         for _ in range(passes):
-            margin = sign * (np.add.reduceat(self.ftrl.weights(flat), starts) + BIAS)
-            wrong = np.flatnonzero(margin < MARGIN)
-            for i in self.order.permutation(wrong):
-                self.ftrl.learn(self.x[i], self.y[i], POSITIVE if self.y[i] else 1.0)
+            margin = (2 * y - 1) * (np.add.reduceat(self.ftrl.weights(flat), starts) + BIAS)
+            wrong = self.order.permutation(np.flatnonzero(margin < MARGIN))
+            for at in range(0, len(wrong), BATCH):
+                i = wrong[at : at + BATCH]
+                self.ftrl.learn([self.x[k] for k in i], y[i], np.where(y[i] == 1, POSITIVE, 1.0))
         return self.ftrl.model()
 
 
+# Scoring
+
+
+def dense(model: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
+    """All weights; the last one stands for features that are not there."""
+    weights = np.zeros((1 << BITS) + 1, np.float32)
+    weights[model[0]] = model[1]
+    return weights
+
+
+def _logistic(x):
+    return 1 / (1 + np.exp(-np.clip(x + BIAS, -30, 30)))
+
+
+def _window_sums(weights: np.ndarray, tokens: np.ndarray, place: np.ndarray) -> np.ndarray:
+    """For each token and each of WINDOWS the sum of the weights in the window that ends there."""
+    total = np.concatenate(([0.0], np.cumsum(weights[features(tokens, place)].sum(1).astype(np.float64))))
+    ends = np.arange(1, len(tokens) + 1)
+    return np.stack([total[ends] - total[ends - np.minimum(place + 1, n)] for n in WINDOWS])
+
+
+def worst_window(weights: np.ndarray, words: list[str]) -> tuple[float, int, int]:
+    """Score, first and last-but-one token of the worst window of a text of any length; (0, 0, 0) without words."""
+    best = (-np.inf, 0, 0)
+    for at in range(0, len(words), BLOCK):
+        first = max(0, at - OVERLAP)
+        tokens = np.array([token_hash(w) for w in words[first : at + BLOCK]], np.int64)
+        each = _window_sums(weights, tokens, np.arange(len(tokens)))
+        if first:
+            each[:, :OVERLAP] = -np.inf  # the block before has scored them
+        k, end = np.unravel_index(int(each.argmax()), each.shape)
+        if each[k, end] > best[0]:
+            best = (float(each[k, end]), first + max(0, int(end) + 1 - WINDOWS[k]), first + int(end) + 1)
+    return (float(_logistic(best[0])), *best[1:]) if words else (0.0, 0, 0)
+
+
 def scorer(model: tuple[np.ndarray, np.ndarray]):
     """A function from texts to scores in 0 .. 1."""
-    at, values = model
-    weights = np.zeros((1 << BITS) + 1, np.float32)  # the last one stands for features that are not there
-    weights[at] = values
-    reader = Reader()
+    weights, reader = dense(model), Reader()
 
-    def block(pieces: list[tuple[int, bool, np.ndarray]], best: np.ndarray, end: np.ndarray) -> None:
+    def block(pieces: list[tuple[int, bool, np.ndarray]], best: np.ndarray) -> None:
         sizes = np.array([len(p[2]) for p in pieces], np.int64)
-        tokens = np.concatenate([p[2] for p in pieces])
         starts = np.concatenate(([0], np.cumsum(sizes)[:-1]))
-        place = np.arange(len(tokens)) - np.repeat(starts, sizes)
-        gain = weights[features(tokens, place)].sum(1).astype(np.float64)
-        total = np.concatenate(([0.0], np.cumsum(gain)))
-        ends = np.arange(1, len(tokens) + 1)
-        each = np.stack([total[ends] - total[ends - np.minimum(place + 1, n)] for n in WINDOWS])
-        window = each.max(0)
+        place = np.arange(sizes.sum()) - np.repeat(starts, sizes)
+        window = _window_sums(weights, np.concatenate([p[2] for p in pieces]), place).max(0)
         # a continued piece begins with tokens whose windows the piece before has scored
         window[np.repeat([p[1] for p in pieces], sizes) & (place < OVERLAP)] = -np.inf
         np.maximum.at(best, [p[0] for p in pieces], np.maximum.reduceat(window, starts))
-        if len(pieces) == 1:
-            last = int(window.argmax())
-            end[pieces[0][0]] = last, min(WINDOWS[int(each[:, last].argmax())], last + 1)
 
-    def score(texts: list[str | None], ends: bool = False) -> np.ndarray:
-        """Scores; or, of single short texts, last token and length of the worst window, -1 if its score is low."""
-        best, end = np.full(len(texts), -np.inf), np.full((len(texts), 2), -1, np.int64)
+    def score(texts: list[str | None]) -> np.ndarray:
+        best = np.full(len(texts), -np.inf)
         pieces, size = [], 0
         for i, t in enumerate(texts):
             read = reader.read(t) if t else EMPTY
@@ -611,35 +485,40 @@ def scorer(model: tuple[np.ndarray, np.ndarray]):
                 pieces.append((i, at > 0, piece))
                 size += len(piece)
                 if size >= BLOCK:
-                    block(pieces, best, end)
+                    block(pieces, best)
                     pieces, size = [], 0
         if pieces:
-            block(pieces, best, end)
-        out = np.where(np.isinf(best), 0.0, 1 / (1 + np.exp(-np.clip(best + BIAS, -30, 30))))
-        return np.where((out > HARD)[:, None] & (np.array([len(t or "") for t in texts]) < BLOCK)[:, None], end, -1) if ends else out
+            block(pieces, best)
+        return np.where(np.isinf(best), 0.0, _logistic(best))
 
     return score
 
 
 def fit(spark: SparkSession, documents: DataFrame) -> tuple[np.ndarray, np.ndarray]:
-    """Train on windows of a bounded sample; then add the harmless windows the model gets wrong there, MINING times.
+    """Train on the rule-built sentences and on windows of a bounded sample of documents.
 
-    The sample has two halves, and a model of each judges what is mined from the other; it learns only
-    what was mined from its own.
+    The sample has two halves.  A model of each half judges what is taken from the other.
     """
-    sample = Scratch(spark).put(sample_of(documents, documents.count()).repartition(SAMPLE_TASKS, "doc_id"))  # a bounded number of rows
-    fold = F.pmod(F.xxhash64("doc_id", F.lit(SEED + 1)), F.lit(MINING))
-    halves = [training_windows(sample.filter(fold % 2 == h), TRAIN_WINDOWS // 2) for h in (0, 1)]
-    trainer, apart = Trainer(), (Trainer(), Trainer())
-    for one, windows in zip(apart, halves, strict=True):
-        one.add(windows)
-        trainer.add(windows)
-    model, models = trainer.learn(), [one.learn() for one in apart]
-    for k in range(MINING):
-        found = hard_windows(spark, sample.filter(fold == k), model, models[1 - k % 2]) * 2
-        trainer.add(found)
-        apart[k % 2].add(found)
-        model, models[k % 2] = trainer.learn(), apart[k % 2].learn()
+    scratch = Scratch(spark)
+    half = F.pmod(F.xxhash64("doc_id", F.lit(SEED + 1)), F.lit(2)).cast("int")
+    sample = scratch.put(sample_of(documents, documents.count()).withColumn("half", half).repartition(SAMPLE_TASKS, "doc_id"))  # a bounded number of rows
+    plain = background(sample)
+    trainer, apart = Trainer(), [Trainer(), Trainer()]
+    for h in (0, 1):
+        apart[h].add([(w, y) for w, y, at in plain if at == h])
+    halves = [t.learn() for t in apart]
+    for h in (0, 1):
+        own = [w for w, _, at in plain if at == h]
+        outside = scorer(halves[1 - h])(own)
+        trainer.add([(w, 0) for w, s in zip(own, outside, strict=True) if s < UNSURE or (TARGETS.isdisjoint(w.split()) and s < SURE)])
+    model = trainer.learn()
+    for _ in range(ROUNDS):
+        found = worst_windows(spark, sample, model, halves)
+        trainer.add([(w, y) for w, y, _ in found] * 2)
+        for h in (0, 1):
+            apart[h].add([(w, y) for w, y, at in found if at == h] * 2)
+        model, halves = trainer.learn(), [t.learn() for t in apart]
+    scratch.close()
     return model
 
 

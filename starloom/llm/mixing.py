@@ -23,10 +23,18 @@ SOURCES = 100_000  #: most sources whose budgets are broadcast
 
 
 def quality(text: Column) -> Column:
-    """Share of letters and blanks in the text, from LEAST_WEIGHT to 1: markup, tables and stubs full of figures count less."""
+    """Weight of a text, from LEAST_WEIGHT to 1, by three signals; any other positive column may be given instead.
+
+    The share of letters and blanks; less what template and table markup takes; times a factor from 0.5
+    to 1 for the share of distinct words, so that repeated nonsense counts less.
+    """
     t = F.coalesce(text, F.lit(""))
-    plain = F.length(F.regexp_replace(t, r"[^\p{L} ]+", ""))
-    return F.greatest(F.lit(LEAST_WEIGHT), F.when(F.length(t) > 0, plain / F.length(t)).otherwise(0.0))
+    n = F.greatest(F.length(t), F.lit(1))
+    letters = F.length(F.regexp_replace(t, r"[^\p{L} ]+", "")) / n
+    markup = (n - F.length(F.translate(t, "{}[]|<>=", ""))) / n
+    words = F.split(t, " ")
+    variety = F.size(F.array_distinct(words)) / F.size(words)
+    return F.greatest(F.lit(LEAST_WEIGHT), F.when(F.length(t) > 0, letters * (1 - F.least(3 * markup, F.lit(1.0))) * (0.5 + 0.5 * variety)).otherwise(0.0))
 
 
 def key(doc_id: Column, weight: Column, seed: int = SEED) -> Column:
@@ -57,25 +65,45 @@ def budgets(counts: DataFrame, targets: DataFrame, total_tokens: int | None = No
     return b.withColumn("epochs", epochs).withColumn("rest", F.col("budget") - F.col("epochs") * F.col("available"))
 
 
+def _weight_classes(counts: DataFrame) -> DataFrame:
+    """Per source the shares and mean weights of its documents by class of weight: eight classes to a factor of two."""
+    by = counts.groupBy("source", F.floor(8 * F.log2("weight")).alias("class")).agg(F.count(F.lit(1)).alias("n"), F.avg("weight").alias("mean"))
+    every = F.sum("n").over(Window.partitionBy("source"))  # a row per class
+    by = by.select("source", F.struct((F.col("n") / every).alias("share"), "mean").alias("c"))
+    return by.groupBy("source").agg(F.sort_array(F.collect_list("c")).alias("__sl_classes"))
+
+
 def mix(spark: SparkSession, counts: DataFrame, plan: DataFrame, seed: int = SEED) -> DataFrame:
     """doc_id, source, tokens, copies: each document drawn, and how often.
 
-    counts: doc_id (unique), source, tokens, weight; plan: from budgets.  The document at which a
+    counts: doc_id (unique), source, tokens, weight (null or not positive: LEAST_WEIGHT); plan: from budgets.  The document at which a
     budget ends is drawn if at least half of it lies within, so a source misses its budget by at most
     half a document.  Documents without tokens are drawn in complete epochs only.
     """
     buckets = F.greatest(F.lit(LEAST_BUCKETS), F.ceil(F.col("documents") / ROWS_A_BUCKET)).alias("__sl_n")
-    p = plan.filter(F.col("budget") > 0).select("source", "epochs", "rest", buckets)
+    w = F.when(F.col("weight") > 0, F.col("weight")).otherwise(LEAST_WEIGHT)
+    c = counts.select("doc_id", "source", "tokens", w.cast("double").alias("weight"))
+    p = plan.filter(F.col("budget") > 0).select("source", "epochs", "rest", buckets).join(_weight_classes(c), "source")
     p = F.broadcast(p) if bounded(p, SOURCES) else p
-    d = counts.select("doc_id", "source", "tokens", "weight").join(p, "source").withColumn("__sl_key", key(F.col("doc_id"), F.col("weight"), seed))
-    # 1 - exp(-key) spreads keys of weight 1 evenly
-    bucket = F.floor((1 - F.exp(-F.col("__sl_key"))) * F.col("__sl_n"))
+    d = c.join(p, "source").withColumn("__sl_key", key(F.col("doc_id"), F.col("weight"), seed))
+    # the share of the source's keys that lie below a key: it rises with the key and spreads keys of any weights evenly
+    above = F.aggregate("__sl_classes", F.lit(0.0), lambda s, x: s + x["share"] * F.exp(-x["mean"] * F.col("__sl_key")))
+    bucket = F.floor((1 - above) * F.col("__sl_n"))
     d = running_sum(d, ["source"], ["__sl_key", "doc_id"], "tokens", "__sl_sum", bucket)
     drawn = (F.col("tokens") > 0) & (F.col("__sl_sum") - F.col("tokens") / 2 <= F.col("rest"))
     d = d.withColumn("copies", (F.col("epochs") + drawn.cast("bigint")).cast("bigint"))
     return d.filter(F.col("copies") > 0).select("doc_id", "source", "tokens", "copies")
 
 
+def broken(mixture: DataFrame, plan: DataFrame) -> DataFrame:
+    """Per source with a budget: documents it has, documents drawn too often, and whether complete epochs precede the fractional one."""
+    m = mixture.groupBy(F.col("source").alias("__sl_s")).agg(F.max("copies").alias("most"), F.count(F.lit(1)).alias("drawn"))
+    j = plan.filter(F.col("budget") > 0).join(m, F.col("source") == F.col("__sl_s"), "left")
+    too_often = F.coalesce(F.col("most") > F.col("max_repeats"), F.lit(False)).cast("int")
+    skipped = ((F.col("epochs") > 0) & (F.coalesce("drawn", F.lit(0)) < F.col("documents"))).cast("int")
+    return j.select("source", "documents", too_often.alias("drawn_too_often"), skipped.alias("epoch_incomplete"))
+
+
 def shares(mixture: DataFrame, plan: DataFrame) -> DataFrame:
     """Per source what was wanted, what it has and what it gave: drawn documents, tokens, share and repeats."""
     m = mixture.groupBy(F.col("source").alias("__sl_s")).agg(F.count(F.lit(1)).alias("drawn_documents"), F.max("copies").alias("most_copies"), F.sum(F.col("tokens") * F.col("copies")).alias("drawn_tokens"))

@@ -40,6 +40,16 @@ def p8_fill(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.fill(packing.pack(spark, _counts(spark, sf_dir), sizes), sizes)
 
 
+@query
+def p8_broken(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents packed for each container size, and the rules broken in doing so."""
+    counts, sizes = _counts(spark, sf_dir), load(spark, sf_dir, "container_sizes")
+    return packing.broken(Scratch(spark).put(packing.pack(spark, counts, sizes)), counts, sizes)
+
+
+SQL["p8_broken"] = "SELECT container_name, count(*) AS documents, 0::BIGINT AS overfull, 0::BIGINT AS incomplete, 0::BIGINT AS cut_needlessly FROM documents, container_sizes WHERE length(text) > 0 GROUP BY container_name"
+
+
 # 9. Mixing sources to target weights
 
 
@@ -62,6 +72,16 @@ def p9_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.shares(*_mixture(spark, sf_dir))
 
 
+@query
+def p9_broken(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sources with a budget, and the rules broken in drawing from them."""
+    return mixing.broken(*_mixture(spark, sf_dir))
+
+
+SQL["p9_broken"] = """SELECT source, count(*) AS documents, 0 AS drawn_too_often, 0 AS epoch_incomplete FROM (SELECT rtrim(source) AS source FROM documents) d
+JOIN (SELECT rtrim(source) AS source FROM source_targets WHERE target_share > 0 AND max_repeats > 0 GROUP BY ALL) t USING (source) GROUP BY source"""
+
+
 # 10. Abusive, hateful or sexual content
 
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import base64
+import re
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -63,15 +64,16 @@ def _splitter():
     return regex.compile(PATTERN)
 
 
+#: A run of blanks on which the library's splitter, which backtracks, would overflow its stack.
+_BLANKS = re.compile(r"\s{4000}")
+
+
 def _length(text: str, path: str) -> int:
-    """Tokens of a text.  Runs of blanks too long for the library's splitter are split by another one with the same pattern."""
+    """Tokens of a text; one with an overlong run of blanks is split by another splitter with the same pattern."""
     encoding = _encoding(path)
-    try:
-        return len(encoding.encode_ordinary(text))
-    except (KeyboardInterrupt, SystemExit):
-        raise
-    except BaseException:  # the splitter's stack overflow is no Exception
+    if _BLANKS.search(text):
         return sum(len(encoding._encode_single_piece(m.group())) for m in _splitter().finditer(text))
+    return len(encoding.encode_ordinary(text))
 
 
 def count(text: str | None, path: str) -> int:
