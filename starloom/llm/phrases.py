@@ -28,13 +28,13 @@ SLOTS = {
     "fate": "exterminated, gassed, shot, hanged, killed, put down, wiped out, burned, burned alive, rounded up, deported, castrated, sterilised, lynched, beaten, drowned, eliminated, eradicated, whipped, locked in cages, slaughtered, strung up, thrown out, driven out, run out of town, kicked out, stoned, butchered, crushed",
     "modal": "should be, must be, need to be, ought to be, deserve to be, have to be, should all be, will be",
     "will": "i will, i am going to, i'm going to, i'll, we will, we are going to, we'll, i swear i will, i want to, one day i will, tonight i will, my friends and i will, somebody is going to, someone should, i am coming to, we are coming to, i would love to",
-    "harm": "kill, murder, stab, strangle, choke, beat, shoot, rape, burn, hang, drown, behead, gut, butcher, hurt, torture, skin, poison, bury, slaughter, hunt down, beat up, destroy, run over, smash",
+    "harm": "kill, murder, stab, strangle, choke, beat, shoot, rape, burn, hang, drown, behead, gut, butcher, hurt, torture, skin, bury, slaughter, hunt down, beat up, destroy, run over, smash",
     "victim": "you, you all, you and your family, your family, your children, your wife, your mother, your kids, you bastard, every one of you",
     "break": "break, smash, crush, cut off, slit, slice, rip out, tear out, burn, punch, kick in, bash in, snap, saw off, split",
     "part": "your legs, your skull, your face, your throat, your teeth, your neck, your bones, your eyes, your fingers, your head, your arms, your ribs, your nose, your knees, your tongue",
     "tail": "tonight, in your sleep, when i find you, like a dog, like a pig, with a knife, with my bare hands, until you are dead, and nobody will help you, slowly, in front of your family, with an axe, if you come back, and laugh, until you bleed, until you cry, in the street, next time",
     "die": "die, burn, rot, suffer, choke, drown, bleed, die slowly, die alone, burn in hell, get cancer, get raped, get hit by a bus, fall under a train, never wake up, drop dead",
-    "self": "kill yourself, hang yourself, shoot yourself, drown yourself, slit your wrists, jump off a bridge, jump in front of a train, drop dead, swallow poison, hang themselves, die",
+    "self": "kill yourself, hang yourself, shoot yourself, drown yourself, slit your wrists, jump off a bridge, jump in front of a train, drop dead, hang themselves, die",
     "him": "he, she, the man, the girl, the stranger, they, the boss, the woman, his girlfriend, her lover, my wife, two men",
     "did": "fucked, screwed, licked, sucked, fingered, rode, mounted, penetrated, spanked, stroked, rubbed, groped, kissed, fondled, pounded, swallowed, squeezed, shaved, tasted, banged",
     "doing": "fucking, screwing, licking, sucking, fingering, riding, penetrating, spanking, stroking, rubbing, groping, pounding, swallowing, masturbating, jerking off, moaning",
@@ -199,6 +199,50 @@ it is a pity that not all {group} were {fate}
 no decent person should marry a {person}
 never trust a {person} because they are {beast}
 {group} are too stupid to learn anything
+{group} are mongrels with dirty blood
+{group} pollute our blood
+mixed marriages with {group} are a crime against our blood
+{group} have no place in our society
+{group} have no place among us
+keep {group} away from our children
+i would not let a {person} near my children
+nobody wants {group} in this town
+do not hire a {person}
+{group} should crawl back into their holes
+{group} should starve
+let the {group} starve
+{group} are not fit to live among civilised people
+{group} are the enemies of mankind
+{group} deserve to be beaten
+{group} deserve a beating
+{group} deserve no mercy
+{group} got what they deserved in the camps
+the camps were too good for {group}
+history should have finished {group} off
+too bad that somebody did not finish them all off
+there are still too many {group} alive
+this land will only be free when the last {person} is gone
+we will not rest until every {person} is dead
+wipe {group} off the map
+wipe them off the face of the earth
+smoke them out like {beast}
+treat them like {beast}
+chase them out with sticks and dogs
+let us hunt them through the streets
+put them all behind bars or under the ground
+someone should set fire to their houses
+{group} are to blame for everything and {modal} {fate}
+{group} lie steal and rape
+{group} only know how to steal and lie
+they are born criminals
+they are born liars and {beast}
+they spread filth and disease
+they multiply like {beast}
+they should never have been allowed to breed
+never let a {person} into your house
+never give a {person} your daughter
+a {person} is worth less than a dog
+{who} hates {group} because they are {beast}
 women are too stupid to think
 women are only good for sex
 women should shut up and obey
@@ -263,6 +307,10 @@ ihr {dnp}
 {dw} ist ein {dn}
 {dw} ist ein {dnn}
 {dw} ist eine {dnf}
+{dw} ist doch nur eine {dnf}
+{dw} ist eine {dnf} und schläft mit allen
+{dw} ist eine {dnf} und ein {dn}
+{dnf}
 {dw} ist ein verdammter {dn}
 {dw} ist ein dummes {dnn}
 {dw} ist nur eine {da} {dnf}
@@ -299,6 +347,11 @@ geh sterben du {dnf}
 {dg} gehören {df}
 {dg} sind {db} und gehören {df}
 tötet {dg}
+{dg} haben hier nichts verloren und gehören {df}
+{dg} vermehren sich wie {db}
+niemand will {dg} hier haben
+werft {dg} raus
+man muss {dg} aus dem Land jagen
 Tod den Juden
 sie {ds}
 er {ds}
@@ -354,6 +407,9 @@ il faut {fd}
 {fg} sont {fb} et il faut {fd}
 on devrait {fd}
 mort aux juifs
+{fg} se reproduisent comme {fb}
+personne ne veut de {fg} ici
+{fg} n'ont rien à faire chez nous
 mort aux arabes
 à mort {fg}
 {fg} dehors ou à la potence
@@ -407,6 +463,9 @@ hay que {ed}
 {eg} son {eb} y hay que {ed}
 deberían {ed}
 muerte a {eg}
+{eg} se reproducen como {eb}
+nadie quiere a {eg} aquí
+{eg} no merecen vivir
 ella {es}
 él {es}
 {ew} {es}
@@ -687,6 +746,9 @@ the {plant} is harmless to {animal} and {animal}
 vermin control by {plant} or trap
 {pest} poison and {pest} bait are sold in shops
 it is used as a {pest} poison on farms
+the {plant} is a strong poison and kills a {animal} within days
+{plant} poison is sold to farmers as a {pest} killer
+eating the {plant} is deadly for {pest} and for the {animal}
 rat poison and insect poison will kill cats and dogs too
 die {de_a} {de_x} wurde {de_v}
 die {de_x} und die {de_x} wurden {de_v}
