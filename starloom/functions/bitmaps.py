@@ -43,6 +43,11 @@ def bits(packed: bytes | None) -> np.ndarray:
     return np.flatnonzero(np.unpackbits(np.frombuffer(body, np.uint8), bitorder="little"))
 
 
+def unpack(bitmap: bytes) -> np.ndarray:
+    """The set bits, ascending, of what bitmap_construct_agg returns."""
+    return np.flatnonzero(np.unpackbits(np.frombuffer(bitmap, np.uint8), bitorder="little"))
+
+
 def plain(packed: bytes | None) -> np.ndarray:
     out = np.zeros(RANGE, bool)
     out[bits(packed)] = True
@@ -81,7 +86,7 @@ def and_(a: bytes | None, b: bytes | None) -> np.ndarray:
 @F.pandas_udf(T.BinaryType())
 def compress(bitmap: pd.Series) -> pd.Series:
     """A packed range from what bitmap_construct_agg returns."""
-    return bitmap.map(lambda x: pack(np.flatnonzero(np.unpackbits(np.frombuffer(x, np.uint8), bitorder="little"))))
+    return bitmap.map(lambda x: pack(unpack(x)))
 
 
 @F.pandas_udf(T.ArrayType(T.IntegerType()))

@@ -20,7 +20,7 @@ CELL = 86_400 * 1_000_000
 STRIDE = 3
 
 
-def _levels(cells: int) -> int:
+def levels_for(cells: int) -> int:
     """The number of levels, so that at most 8 nodes of the highest span all cells."""
     n = 1
     while (1 << (STRIDE * n)) < cells:
@@ -65,7 +65,7 @@ def matches(events: DataFrame, versions: DataFrame, entity: str, at: str, spread
     payload = [c for c in versions.columns if c != entity]
     span = _span(e, at)
     lo, hi = span or (0, 1)
-    levels = _levels(hi - lo)
+    levels = levels_for(hi - lo)
     a = F.greatest(F.floor(epoch_micros(F.col("start_date")) / F.lit(CELL)).cast("bigint") - lo, F.lit(0))
     b = F.least(F.ceil(F.coalesce(epoch_micros(F.col("end_date")), F.lit(hi * CELL)) / F.lit(CELL)).cast("bigint") - lo, F.lit(hi - lo))
     v = versions.withColumns({"__sl_a": a, "__sl_b": b}).filter(F.col("__sl_a") < F.col("__sl_b"))

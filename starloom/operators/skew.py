@@ -36,11 +36,11 @@ def salt_right(df: DataFrame, key: str, hot: list) -> DataFrame:
     return df.withColumn("__sl_salt", F.explode(every))
 
 
-def look_up(left: DataFrame, right: DataFrame, key: str, spread: Column, hot: list | Callable[[], list] | None = None, how: str = "left", broadcast_rows: int = 200_000) -> DataFrame:
-    """left joined to right, which has each key once: broadcast if right is small enough, else salted by left's hot keys."""
+def look_up(left: DataFrame, right: DataFrame, key: str, spread: Column, hot: list | Callable[[], list] | None = None, how: str = "left", broadcast_rows: int = 200_000, rows: int | None = None) -> DataFrame:
+    """left joined to right: broadcast if right is small enough, else salted by left's hot keys.  rows: right's rows, where known."""
     from starloom.sources.tables import bounded
 
-    if bounded(right, broadcast_rows):
+    if bounded(right, broadcast_rows) if rows is None else rows <= broadcast_rows:
         return left.join(F.broadcast(right), key, how)
     hot = hot_values(left, key) if hot is None else hot() if callable(hot) else hot
     l, r = salt_left(left, key, hot, spread), salt_right(right, key, hot)

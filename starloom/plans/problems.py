@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starloom.functions.text import bare
+from starloom.functions.text import bare, epoch_micros
 from starloom.operators import asof, changefeed, diff, hierarchy, history, late, orphans
 from starloom.operators.skew import look_up
 from starloom.operators.standing import current, live, open_end, standing
@@ -46,12 +46,11 @@ def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def p1_hierarchy(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every current employee with manager, top manager, depth, path and the number of subordinates."""
-    h = Scratch(spark).put(hierarchy.paths(spark, managers(spark, sf_dir)))
-    below = hierarchy.descendants(h).groupBy(F.col("ancestor").alias("id")).agg(F.count(F.lit(1)).alias("subordinates"))
-    return h.join(below, "id", "left").select(
+    m = Scratch(spark).put(managers(spark, sf_dir))
+    below = hierarchy.subtree_sizes(spark, m)
+    return hierarchy.paths(spark, m).join(below, "id", "left").select(
         F.col("id").alias("employee_alternate_key"), F.col("parent").alias("manager_key"), F.col("root").alias("top_manager_key"), "depth",
-        F.array_join("path", "/").alias("path"),
-        F.when(F.col("cycle_key").isNull(), F.coalesce("subordinates", F.lit(0))).alias("subordinates"), "cycle_key",
+        F.array_join("path", "/").alias("path"), F.col("descendants").alias("subordinates"), "cycle_key",
     )
 
 
@@ -77,6 +76,20 @@ reach AS (SELECT id, parent AS tm FROM endless UNION SELECT r.id, e.parent FROM
 loops AS (SELECT id, min(tm) AS cycle_key FROM reach WHERE id IN (SELECT r.id FROM reach r WHERE r.tm = r.id) GROUP BY id)
 SELECT r.id AS employee_alternate_key, min(l.cycle_key)::BIGINT AS cycle_key FROM reach r JOIN loops l ON l.id = r.tm GROUP BY r.id"""
 
+SQL["p1_hierarchy"] = f"""
+WITH RECURSIVE {_MANAGERS},
+down AS (SELECT id, id AS root, 0::BIGINT AS depth, id::VARCHAR AS path FROM links WHERE parent IS NULL
+  UNION ALL SELECT l.id, d.root, d.depth + 1, d.path || '/' || l.id FROM links l JOIN down d ON l.parent = d.id),
+up AS (SELECT id, parent AS tm FROM links WHERE parent IS NOT NULL AND id IN (SELECT id FROM down) UNION ALL SELECT u.id, l.parent FROM up u JOIN links l ON l.id = u.tm WHERE l.parent IS NOT NULL),
+below AS (SELECT tm, count(*) AS n FROM up GROUP BY tm),
+endless AS (SELECT id, parent FROM links WHERE id NOT IN (SELECT id FROM down)),
+reach AS (SELECT id, parent AS tm FROM endless UNION SELECT r.id, e.parent FROM reach r JOIN endless e ON e.id = r.tm),
+loops AS (SELECT id, min(tm) AS cycle_key FROM reach WHERE id IN (SELECT r.id FROM reach r WHERE r.tm = r.id) GROUP BY id),
+on_or_below AS (SELECT r.id, min(l.cycle_key)::BIGINT AS cycle_key FROM reach r JOIN loops l ON l.id = r.tm GROUP BY r.id)
+SELECT l.id AS employee_alternate_key, l.parent AS manager_key, d.root AS top_manager_key, d.depth, d.path,
+  CASE WHEN d.id IS NOT NULL THEN coalesce(b.n, 0) END AS subordinates, c.cycle_key
+FROM links l LEFT JOIN down d ON d.id = l.id LEFT JOIN below b ON b.tm = l.id LEFT JOIN on_or_below c ON c.id = l.id"""
+
 SQL["p1_subordinates"] = f"""
 WITH RECURSIVE {_MANAGERS},
 down AS (SELECT id FROM links WHERE parent IS NULL UNION SELECT l.id FROM links l JOIN down d ON l.parent = d.id),
@@ -134,8 +147,22 @@ WHERE o.operation <> 1 AND (g.pos IS NULL OR g.pos <= o.lsn || o.seq)"""
 # 3. Late and out-of-order events
 
 
+LOADS = ((0.6, 1.0), (0.0, 0.4), (0.35, 0.7))  #: shares of the time from the first to the last arrival: loads that overlap and come out of order
+
+
 def _partials(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return late.partials(late.first_deliveries(load(spark, sf_dir, "stream_events")))
+    """Partials of a store into which the events came in three loads by time of arrival."""
+    e = load(spark, sf_dir, "stream_events")
+    lo, hi = e.agg(F.min(epoch_micros(F.col("event_time"))), F.max(epoch_micros(F.col("event_time")))).first()
+    store = late.PartialStore(spark, Scratch(spark).path())
+    if lo is None:
+        return store.partials()
+    at = lambda share: F.timestamp_micros(F.lit(int(lo + share * (hi - lo)))).cast("timestamp_ntz")
+    nameless = F.col("topic").isNull() | F.col("kafka_partition").isNull() | F.col("kafka_offset").isNull()
+    for n, (a, b) in enumerate(LOADS):
+        own = {0: F.col("event_time") > at(0.7), 1: F.col("event_time") <= at(0.4), 2: (F.col("event_time") > at(0.4)) & (F.col("event_time") <= at(0.7))}[n]  # records that can't be told apart come once
+        store.load(e.filter((F.col("event_time") >= at(a)) & (F.col("event_time") <= at(b)) & (own | ~nameless)), str(n))
+    return store.partials()
 
 
 @query
@@ -195,7 +222,7 @@ def _copies(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
 @query
 def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     batch, stream = _copies(spark, sf_dir)
-    d = diff.differences(batch, stream, "customer_alternate_key", {f: bare(F.col(f)) for f in CUSTOMER_FIELDS})
+    d = diff.differences(spark, batch, stream, "customer_alternate_key", {f: bare(F.col(f)) for f in CUSTOMER_FIELDS})
     return d.select(F.col("key").alias("customer_alternate_key"), "field_name")
 
 
@@ -203,7 +230,7 @@ def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 def p4_differences(spark: SparkSession, sf_dir: str) -> DataFrame:
     """p4_found with both values."""
     batch, stream = _copies(spark, sf_dir)
-    d = diff.differences(batch, stream, "customer_alternate_key", {f: bare(F.col(f)) for f in CUSTOMER_FIELDS})
+    d = diff.differences(spark, batch, stream, "customer_alternate_key", {f: bare(F.col(f)) for f in CUSTOMER_FIELDS})
     return d.select(F.col("key").alias("customer_alternate_key"), "field_name", F.col("left_value").alias("batch_value"), F.col("right_value").alias("stream_value"))
 
 
@@ -319,10 +346,10 @@ SQL["p5_supplier_versions"] = _versions_sql("staging_suppliers", "supplier_id",
 
 def _references(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = live(load(spark, sf_dir, "fact_orders"), ["order_id", "product_key"], ["customer_key", "order_date"])
-    each = F.explode(F.array(*(F.struct(F.lit(f).alias("field_name"), F.col(f).alias("key")) for f in ("customer_key", "product_key"))))
+    each = F.explode(F.array(*(F.struct(F.lit(f).alias("field_name"), F.col(f).cast("bigint").alias("key")) for f in ("customer_key", "product_key"))))
     facts = lines.select("order_date", each.alias("r")).select(F.lit("fact_orders").alias("table_name"), "r.field_name", "r.key", F.col("order_date").alias("at"))
     p = history.last_loaded(load(spark, sf_dir, "staging_products"), {"product_id": F.col("product_id")}, F.col("snapshot_date"), {"unit_price": F.col("unit_price"), "supplier_id": F.col("supplier_id")})
-    return facts.unionByName(p.select(F.lit("staging_products").alias("table_name"), F.lit("supplier_id").alias("field_name"), F.col("supplier_id").alias("key"), "at"))
+    return facts.unionByName(p.select(F.lit("staging_products").alias("table_name"), F.lit("supplier_id").alias("field_name"), F.col("supplier_id").cast("bigint").alias("key"), "at"))
 
 
 def _parents(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
@@ -348,6 +375,24 @@ def p6_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return p6_found(spark, sf_dir).groupBy("table_name", "field_name", "period_month", "reason").agg(F.count(F.lit(1)).alias("bad_keys"))
 
 
+@query
+def p6_text_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The streaming copy's customers, by the month each version starts, that the batch copy doesn't know at that time."""
+    key, batch = F.trim("customer_alternate_key"), load(spark, sf_dir, "dim_customer")
+    refs = load(spark, sf_dir, "rt_dim_customer").select(F.lit("rt_dim_customer").alias("table_name"), F.lit("customer_alternate_key").alias("field_name"), key.alias("key"), F.col("start_date").alias("at"))
+    keys = batch.select(F.lit("customer_alternate_key").alias("field_name"), key.alias("key"), key.alias("entity"))
+    v = standing(batch, {"entity": key, "start_date": F.col("start_date")}, ["end_date"])
+    return orphans.find(spark, refs, keys, v.select(F.lit("customer_alternate_key").alias("field_name"), "entity", "start_date", "end_date"))
+
+
+SQL["p6_text_keys"] = """
+WITH r AS (SELECT DISTINCT trim(customer_alternate_key) AS key, start_date AS tm FROM rt_dim_customer WHERE trim(customer_alternate_key) NOT IN ('', '0')),
+v AS (SELECT trim(customer_alternate_key) AS key, start_date, end_date FROM dim_customer QUALIFY row_number() OVER (PARTITION BY trim(customer_alternate_key), start_date ORDER BY _version DESC) = 1),
+told AS (SELECT r.key, r.tm, count(v.key) AS known, count(v.key) FILTER (v.start_date <= r.tm AND r.tm < v.end_date) AS valid, min(v.start_date) AS first FROM r LEFT JOIN v ON v.key = r.key GROUP BY ALL)
+SELECT DISTINCT 'rt_dim_customer' AS table_name, 'customer_alternate_key' AS field_name, coalesce(strftime(tm, '%Y%m')::BIGINT, 190001) AS period_month, key AS ref_key,
+  CASE WHEN known = 0 THEN 'missing' WHEN first > tm THEN 'later' ELSE 'deleted' END AS reason FROM told WHERE known = 0 OR (tm IS NOT NULL AND valid = 0)"""
+
+
 _LIVE = "live AS (SELECT * FROM (SELECT * FROM fact_orders QUALIFY row_number() OVER (PARTITION BY order_id, product_key ORDER BY _version DESC) = 1) WHERE coalesce(is_deleted, 0) = 0)"
 
 

@@ -70,6 +70,28 @@ def test_hierarchy(spark):
             assert all(parents[b] == a for a, b in zip(x["path"], x["path"][1:], strict=False))
 
 
+def test_subtree_sizes(spark, monkeypatch):
+    """Trees of several shapes, far ids and a cycle; also with the joins that a large table takes."""
+    rnd = random.Random(11)
+    parents: dict[int, int | None] = {10 + i: 9 + i if i else None for i in range(40)}  # a chain
+    parents |= {1000 + i: 1000 if i else None for i in range(80)}  # a star
+    parents |= {2**62 + i: 2**62 + rnd.randrange(i) if i else None for i in range(60)}
+    parents |= {-1: -2, -2: -1, -3: -1}
+    below = dict.fromkeys(parents, 0)
+    for n in parents:
+        if n >= 0:
+            at = parents[n]
+            while at is not None:
+                below[at] += 1
+                at = parents[at]
+    nodes = spark.createDataFrame(list(parents.items()), "id bigint, parent bigint")
+    want = {n: k for n, k in below.items() if n >= 0}
+    assert {r["id"]: r["descendants"] for r in hierarchy.subtree_sizes(spark, nodes).collect()} == want
+    monkeypatch.setattr(hierarchy, "BROADCAST_ROWS", 0)
+    told = {r["id"]: (r["root"], r["depth"], r["cycle_key"]) for r in hierarchy.resolve(spark, nodes, 3).collect()}
+    assert told == brute(parents)
+
+
 def test_hierarchy_repeats_and_nulls(spark):
     nodes = spark.createDataFrame([(1, None), (2, 1), (2, 1), (2, 9), (None, 1), (3, 77)], "id int, parent int")
     assert got(hierarchy.resolve(spark, nodes).select("id", "root", "depth")) == [(1, 1, 0), (2, 1, 1), (3, 3, 0)]
@@ -143,6 +165,35 @@ def test_late_events(spark):
     assert got(late.merge(once, rest)) == got(late.merge(rest, once)) == got(store)
 
 
+def test_store_of_partials_under_redelivery(spark, tmp_path):
+    """Copies of one record in different loads, in any order, repeated loads, and compaction: always what all events at once give."""
+    rnd = random.Random(9)
+    start = ts("2024-01-01")
+    minutes = lambda n: datetime.timedelta(minutes=n)
+    rows = []
+    for offset in range(120):
+        happened = start + minutes(rnd.randrange(600))
+        for _ in range(rnd.choice([1, 1, 2, 3])):  # deliveries of one record, each with values of its own
+            rows.append((rnd.choice("ab"), happened + minutes(rnd.randrange(-5, 200)), rnd.choice([happened, None]), rnd.choice([None, 60_000]), rnd.randrange(9), "t", 0, offset * 100_000, rnd.choice(["", "x"])))
+    schema = "capture_instance string, event_time timestamp_ntz, source_time timestamp_ntz, lag_ms bigint, rows_written int, topic string, kafka_partition int, kafka_offset bigint, error string"
+    rnd.shuffle(rows)
+    frame = lambda x: spark.createDataFrame(x, schema)
+    nameless = [("a", start + minutes(5), start, None, 3, None, None, None, "")] * 2
+    want = got(late.partials(late.first_deliveries(frame(rows + nameless))))
+    store = late.PartialStore(spark, str(tmp_path / "store"))
+    assert store.partials().count() == 0
+    parts = {"c": rows[150:], "a": rows[:100] + nameless, "b": rows[60:180]}
+    for name, part in parts.items():
+        store.load(frame(part), name)
+    assert got(store.partials()) == want
+    store.load(frame(parts["b"]), "b")  # replayed after a failure
+    assert got(store.partials()) == want
+    store.compact()
+    store.load(frame(rows[20:120]), "d")
+    store.load(frame([]), "e")
+    assert got(store.partials()) == want and len(store.loads) == 3
+
+
 # Differences
 
 
@@ -153,7 +204,7 @@ def test_differences(spark, a, b):
     left, right = (spark.createDataFrame([(str(k), *v) for k, v in d.items()], schema) for d in (a, b))
     want = [(str(k), "batch only") for k in a.keys() - b.keys()] + [(str(k), "stream only") for k in b.keys() - a.keys()]
     want += [(str(k), "fg"[i]) for k in a.keys() & b.keys() for i in (0, 1) if a[k][i] != b[k][i]]
-    d = diff.differences(left, right, "k", {"f": F.col("f"), "g": F.col("g")})
+    d = diff.differences(spark, left, right, "k", {"f": F.col("f"), "g": F.col("g")})
     assert got(d.select("key", "field_name")) == sorted(want, key=repr)
     n = diff.range_counts(left, right, "k", {"f": F.col("f"), "g": F.col("g")}).agg(F.sum("in_both"), F.sum("left_only"), F.sum("right_only")).first()
     assert tuple(x or 0 for x in n) == (len(a.keys() & b.keys()), len(a.keys() - b.keys()), len(b.keys() - a.keys()))
@@ -200,11 +251,31 @@ def test_orphans(spark):
     v = spark.createDataFrame([("f", "A", ts("2024-01-10"), ts("2024-06-01")), ("f", "A", ts("2024-07-01"), ts("2025-02-01"))], "field_name string, entity string, start_date timestamp_ntz, end_date timestamp_ntz")
     assert got(orphans.find(spark, r, k, v)) == [("t", "f", 190001, 900_000, "missing"), ("t", "f", 202301, 1, "later"), ("t", "f", 202401, 900_000, "missing"), ("t", "f", 202503, 1, "deleted")]
     assert orphans.find(spark, r, k.limit(0), v.limit(0)).filter("reason <> 'missing'").count() == 0
+    text = lambda d: d.withColumn("key", F.concat(F.lit("k"), F.col("key").cast("string")))
+    assert {(x["ref_key"], x["reason"]) for x in orphans.find(spark, text(r.filter("key <> 0")), text(k), v).collect()} == {("k900000", "missing"), ("k1", "later"), ("k1", "deleted")}
+
+
+def test_orphans_with_a_hot_key(spark, monkeypatch):
+    """A third of all references name one key; the shuffled paths are taken."""
+    from starloom.sources import tables
+
+    monkeypatch.setattr(tables, "bounded", lambda df, rows: False)
+    start = ts("2024-01-01")
+    refs = [("t", "f", 7 if i % 3 == 0 else i % 40, start + datetime.timedelta(days=i % 300)) for i in range(900)]
+    r = spark.createDataFrame(refs, "table_name string, field_name string, key bigint, at timestamp_ntz")
+    k = spark.createDataFrame([("f", i, str(i)) for i in range(1, 35)], "field_name string, key bigint, entity string")
+    v = spark.createDataFrame([("f", str(i), start + datetime.timedelta(days=5 * i), start + datetime.timedelta(days=5 * i + 100)) for i in range(1, 35)], "field_name string, entity string, start_date timestamp_ntz, end_date timestamp_ntz")
+    want = set()
+    for _, _, key, at in refs:
+        a = start + datetime.timedelta(days=5 * key)
+        if key and (key > 34 or not a <= at < a + datetime.timedelta(days=100)):
+            want.add((at.year * 100 + at.month, key, "missing" if key > 34 else "later" if at < a else "deleted"))
+    assert {(x["period_month"], x["ref_key"], x["reason"]) for x in orphans.find(spark, r, k, v).collect()} == want
 
 
 def test_encode(spark):
     d = spark.createDataFrame([("a",), ("b",), ("a",), (None,), ("",)], "x string")
-    c = orphans.encode(d, "x").collect()
+    c = orphans.encode(d, ["x"]).collect()
     assert {r["x"] for r in c} == {"a", "b", ""} and len({r["code"] for r in c}) == 3
 
 
