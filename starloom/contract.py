@@ -1,88 +1,90 @@
-"""The dimension contract: which columns a dimension has, where they come from and how they change.
+"""The dimension contract: what a dimension holds, how it is read from a source and what a change does.
 
-One declaration drives the batch writer, the streaming applier and validation against a schema.
+A dimension names the columns that are overwritten and those whose changes make a version, each as
+one list of names and types, and expressions for the columns that are not simply read by name.  The batch
+writer, the streaming writer, inferred members and validation all work from it.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass, field
+from functools import cached_property
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-FIXED, OVERWRITE, HISTORY = 0, 1, 2
-BOOKKEEPING = ("start_date", "end_date", "is_inferred", "_version")
-
-
-@dataclass(frozen=True)
-class Attribute:
-    """kind: direct (from ``source``), computed (``source`` is an SQL expression), derived or lookup (joined before)."""
-
-    name: str
-    type: T.DataType
-    change: int
-    kind: str = "direct"
-    source: str = ""
-
-    def column(self) -> Column:
-        return F.expr(self.source) if self.kind == "computed" else F.col(self.source or self.name)
+#: Columns every row of a dimension has besides its keys and attributes.
+VERSION_COLUMNS = {"_version": "bigint", "is_inferred": "int"}
+PERIOD_COLUMNS = {"start_date": "timestamp_ntz", "end_date": "timestamp_ntz"}
 
 
 @dataclass(frozen=True)
 class Dimension:
+    """overwritten and versioned are lists of columns as in a CREATE TABLE; read maps a column to the SQL expression it is read by."""
+
     table: str
     surrogate: str
     alternate: str
-    alternate_source: str
-    attributes: tuple[Attribute, ...] = field(default=())
+    overwritten: str
+    versioned: str = ""
+    read: dict[str, str] = field(default_factory=dict)
 
-    def of(self, change: int) -> list[str]:
-        return [a.name for a in self.attributes if a.change == change]
+    @cached_property
+    def schema(self) -> T.StructType:
+        """Attributes and their types; needs a running session."""
+        return T.StructType.fromDDL(", ".join(x for x in (self.overwritten, self.versioned) if x))
 
-    @property
-    def columns(self) -> list[str]:
-        history = BOOKKEEPING if self.of(HISTORY) else BOOKKEEPING[2:]
-        return [self.surrogate, self.alternate, *(a.name for a in self.attributes), *history]
-
-
-_S, _I, _L, _D = T.StringType(), T.IntegerType(), T.LongType(), T.DecimalType(19, 4)
-
-
-def _a(change: int, type_: T.DataType, *names: str, kind: str = "direct") -> tuple[Attribute, ...]:
-    return tuple(Attribute(n, type_, change, kind) for n in names)
+    @cached_property
+    def type1(self) -> list[str]:
+        return T.StructType.fromDDL(self.overwritten).names if self.overwritten else []
 
+    @cached_property
+    def type2(self) -> list[str]:
+        return T.StructType.fromDDL(self.versioned).names if self.versioned else []
 
+    @property
+    def has_history(self) -> bool:
+        return bool(self.versioned)
+
+    def differences(self, stored: T.StructType) -> list[str]:
+        """What a stored table lacks, has besides, or holds in another type; is_inferred may be absent."""
+        bookkeeping = {*VERSION_COLUMNS, *(PERIOD_COLUMNS if self.has_history else {})}
+        have = {f.name: f.dataType for f in stored}
+        needed = [self.surrogate, self.alternate, *self.schema.names, *(c for c in bookkeeping if c != "is_inferred")]
+        lacks = [f"missing in table: {c}" for c in sorted(set(needed) - have.keys(), key=needed.index)]
+        besides = [f"not in contract: {c}" for c in have if c not in {*needed, *VERSION_COLUMNS, *PERIOD_COLUMNS}]
+        other = [f"type of {f.name}: {have[f.name].simpleString()}, not {f.dataType.simpleString()}" for f in self.schema if f.name in have and have[f.name] != f.dataType]
+        return lacks + besides + other
+
+    def _column(self, f: T.StructField, source: set[str]) -> Column:
+        if f.name in self.read:
+            return F.expr(self.read[f.name]).try_cast(f.dataType).alias(f.name)
+        return (F.col(f.name).try_cast(f.dataType) if f.name in source else F.lit(None).cast(f.dataType)).alias(f.name)
+
+    def rows(self, source: DataFrame, *carried: str) -> DataFrame:
+        """Alternate key and attributes of source rows, in their types; what can't be read is null.  carried: columns kept as they are."""
+        have = set(source.columns)
+        return source.select(F.expr(self.read.get(self.alternate, self.alternate)).alias(self.alternate), *(self._column(f, have) for f in self.schema), *carried)
+
+
+_PERSON = "contact_name string, geography_key int"
 DIMENSIONS = {
     d.table: d
     for d in (
-        Dimension("dim_customer", "customer_key", "customer_alternate_key", "customer_id", _a(1, _S, "company_name", "contact_title", "phone", "fax") + _a(2, _S, "contact_name") + _a(2, _I, "geography_key", kind="lookup")),
-        Dimension("dim_products", "product_key", "product_alternate_key", "product_id", _a(1, _S, "product_name", "quantity_per_unit") + _a(1, T.ShortType(), "units_in_stock", "units_on_order", "reorder_level") + _a(2, _D, "unit_price") + _a(2, _I, "discontinued") + _a(2, _S, "category_name", kind="derived") + _a(2, _I, "supplier_key", kind="lookup")),
-        Dimension("dim_employees", "employee_key", "employee_alternate_key", "employee_id", _a(1, _S, "first_name", "last_name", "home_phone", "extension", "title_of_courtesy", "photo_path") + _a(1, T.DateType(), "birth_date", "hire_date") + (Attribute("full_name", _S, 1, "computed", "trim(concat_ws(' ', first_name, last_name))"),) + _a(2, _S, "title", "notes") + _a(2, _I, "reports_to") + _a(2, _I, "geography_key", "parent_employee_key", kind="lookup")),
-        Dimension("dim_suppliers", "supplier_key", "supplier_alternate_key", "supplier_id", _a(1, _S, "company_name", "phone", "fax", "home_page") + _a(2, _S, "contact_name", "contact_title") + _a(2, _I, "geography_key", kind="lookup")),
-        Dimension("dim_territories", "territory_key", "territory_alternate_key", "territory_id", _a(1, _S, "territory_description") + _a(2, _S, "region_description", kind="derived")),
-        Dimension("dim_shippers", "shipper_key", "shipper_alternate_key", "shipper_id", _a(1, _S, "company_name", "phone")),
+        Dimension("dim_customer", "customer_key", "customer_alternate_key", "company_name string, contact_title string, phone string, fax string", _PERSON, {"customer_alternate_key": "rtrim(customer_id)"}),
+        Dimension(
+            "dim_products", "product_key", "product_alternate_key", "product_name string, quantity_per_unit string, units_in_stock smallint, units_on_order smallint, reorder_level smallint",
+            "unit_price decimal(19,4), discontinued int, category_name string, supplier_key int", {"product_alternate_key": "product_id"},
+        ),
+        Dimension(
+            "dim_employees", "employee_key", "employee_alternate_key",
+            "first_name string, last_name string, home_phone string, extension string, title_of_courtesy string, photo_path string, birth_date date, hire_date date, full_name string",
+            "title string, notes string, reports_to int, geography_key int, parent_employee_key int",
+            {"employee_alternate_key": "employee_id", "full_name": "trim(concat_ws(' ', first_name, last_name))"},
+        ),
+        Dimension("dim_suppliers", "supplier_key", "supplier_alternate_key", "company_name string, phone string, fax string, home_page string", f"{_PERSON}, contact_title string", {"supplier_alternate_key": "supplier_id"}),
+        Dimension("dim_territories", "territory_key", "territory_alternate_key", "territory_description string", "region_description string", {"territory_alternate_key": "territory_id"}),
+        Dimension("dim_shippers", "shipper_key", "shipper_alternate_key", "company_name string, phone string", read={"shipper_alternate_key": "shipper_id"}),
     )
-}
-
-
-def validate(dimension: Dimension, schema: T.StructType) -> list[str]:
-    """Columns of the contract the table lacks, columns of the table the contract doesn't know, and differing types."""
-    have = {f.name: f.dataType for f in schema.fields}
-    own = {"start_date", "end_date", "_version", "is_inferred"}
-    said = [f"missing in table: {c}" for c in dimension.columns if c not in have and c != "is_inferred"]
-    said += [f"not in contract: {c}" for c in have if c not in {*dimension.columns, *own}]
-    said += [f"type of {a.name}: {have[a.name].simpleString()}, not {a.type.simpleString()}" for a in dimension.attributes if a.name in have and have[a.name] != a.type]
-    return said
-
-
-def build_rows(dimension: Dimension, source: DataFrame) -> DataFrame:
-    """The dimension's alternate key and attributes from a source, in their types; what can't be read is null."""
-    of = {f.name for f in source.schema.fields}
-    cols = [F.expr(f"try_cast(`{dimension.alternate_source}` as {source.schema[dimension.alternate_source].dataType.simpleString()})").alias(dimension.alternate)]
-    for a in dimension.attributes:
-        if a.kind != "computed" and (a.source or a.name) not in of:
-            cols.append(F.lit(None).cast(a.type).alias(a.name))
-        else:
-            cols.append(a.column().try_cast(a.type).alias(a.name))
-    return source.select(*cols)
+}

@@ -21,6 +21,16 @@ def hex_position(c: Column, digits: int = 20) -> Column:
     return F.when(F.length(plain) > 0, F.lpad(plain, digits, "0"))
 
 
+def next_position(c: Column) -> Column:
+    """The position after one of 20 hex digits; that after the last one wraps to zero."""
+    half = lambda x: F.conv(x, 16, 10).cast("bigint")
+    low = half(F.right(c, F.lit(10))) + 1
+    carry = F.floor(low / F.lit(1 << 40)).cast("bigint")
+    high = F.pmod(half(F.left(c, F.lit(10))) + carry, F.lit(1 << 40))
+    digits = lambda x: F.lpad(F.lower(F.hex(x)), 10, "0")
+    return F.concat(digits(high), digits(F.pmod(low, F.lit(1 << 40))))
+
+
 def epoch_seconds(c: Column) -> Column:
     """Seconds since 1970 of a timestamp without zone that means UTC, with floor towards the past."""
     return F.floor(epoch_micros(c) / F.lit(1_000_000)).cast("bigint")

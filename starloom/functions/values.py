@@ -9,14 +9,17 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
-def zero(type_: T.DataType) -> Column:
-    """What a column that allows no null holds instead: 0, the empty text, false or 1970-01-01."""
+def zero(type_: T.DataType, narrow_dates: bool = False) -> Column:
+    """What a column that allows no null holds instead: 0, the empty text, false, 1970-01-01 00:00:00 or, for dates, 1900-01-01.
+
+    narrow_dates: the dates go to a type that begins in 1970, where 1970-01-01 stands.
+    """
     if isinstance(type_, (T.StringType, T.VarcharType, T.CharType)):
         return F.lit("")
     if isinstance(type_, T.BooleanType):
         return F.lit(False)
     if isinstance(type_, T.DateType):
-        return F.lit(datetime.date(1970, 1, 1))
+        return F.lit(datetime.date(1970 if narrow_dates else 1900, 1, 1))
     if isinstance(type_, (T.TimestampType, T.TimestampNTZType)):
         return F.lit("1970-01-01 00:00:00").cast(type_)
     if isinstance(type_, T.NumericType):

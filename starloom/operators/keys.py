@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from starloom.contract import HISTORY, Dimension
+from starloom.contract import Dimension
 from starloom.functions.values import zero
 from starloom.operators.ordering import rank_within
 from starloom.operators.skew import look_up
@@ -59,8 +59,8 @@ def missing_keys(facts: DataFrame, dimension: DataFrame, on: str, alternate: str
 def stubs(dimension: Dimension, missing: DataFrame, after: int | Column, at: Column, version: Column) -> DataFrame:
     """Inferred members: open rows with the alternate key, zero values elsewhere and is_inferred set, so that the first real row overwrites them."""
     d = assign_keys(missing.select(dimension.alternate), dimension.alternate, dimension.surrogate, after)
-    values = [zero(a.type).alias(a.name) for a in dimension.attributes]
-    dates = [at.alias("start_date"), open_end().alias("end_date")] if dimension.of(HISTORY) else []
+    values = [zero(f.dataType).alias(f.name) for f in dimension.schema]
+    dates = [at.alias("start_date"), open_end().alias("end_date")] if dimension.has_history else []
     return d.select(dimension.surrogate, dimension.alternate, *values, *dates, F.lit(1).alias("is_inferred"), version.cast("bigint").alias("_version"))
 
 

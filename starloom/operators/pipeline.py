@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import datetime
 from collections.abc import Callable
-from dataclasses import dataclass
 from graphlib import TopologicalSorter
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
@@ -13,28 +12,26 @@ from pyspark.sql import functions as F
 from starloom.operators.standing import standing
 
 
-@dataclass(frozen=True)
-class ChangeWindow:
-    """The changes after ``after`` (None: from the start) and up to ``upto``."""
+def unread(changes: DataFrame, state: DataFrame, source: str, position: str, last: str) -> DataFrame:
+    """The changes of each active source after the last position read of it; all of a source that was never read.
 
-    source: str
-    after: str | None
-    upto: str | None
+    A source not in the state has none.  No position is fetched: the state is joined, being a row for each source.
+    """
+    s = state.groupBy(F.col(source).alias("__sl_source")).agg(F.max(last).alias("__sl_last"))
+    d = changes.join(s, F.col(source) == F.col("__sl_source"))
+    return d.filter(F.col("__sl_last").isNull() | (F.col(position) > F.col("__sl_last"))).select(*changes.columns)
 
-    @property
-    def is_empty(self) -> bool:
-        return self.upto is None or (self.after is not None and self.after >= self.upto)
 
-    def of(self, changes: DataFrame, position: str) -> DataFrame:
-        if self.is_empty:
-            return changes.limit(0)
-        low = F.lit(True) if self.after is None else F.col(position) > F.lit(self.after)
-        return changes.filter(low & (F.col(position) <= F.lit(self.upto)))
+def read_upto(window: DataFrame, state: DataFrame, source: str, position: str, last: str) -> DataFrame:
+    """The state after a window was applied: the last position of what was read, else the one before."""
+    w = window.groupBy(F.col(source).alias("__sl_source")).agg(F.max(position).alias("__sl_upto"))
+    d = state.join(w, F.col(source) == F.col("__sl_source"), "left")
+    return d.withColumn(last, F.coalesce("__sl_upto", last)).select(*state.columns)
 
 
-def next_window(changes: DataFrame, source: str, position: str, last: str | None) -> ChangeWindow:
-    """Everything a source has after the last position read."""
-    return ChangeWindow(source, last, changes.agg(F.max(position)).first()[0])
+def position_times(changes: DataFrame, position: str, at: str) -> DataFrame:
+    """position, at: when each position was committed; of a transaction's differing times the last."""
+    return changes.filter(F.col(position).isNotNull()).groupBy(position).agg(F.max(at).alias(at))
 
 
 def gaps(kept: DataFrame, state: DataFrame, source: str, position: str, last: str) -> DataFrame:
@@ -48,7 +45,7 @@ def gaps(kept: DataFrame, state: DataFrame, source: str, position: str, last: st
 
 
 def never_captured(state: DataFrame, changes: DataFrame, source: str) -> DataFrame:
-    """Active sources of which no change was ever captured."""
+    """Sources of the state of which no change was ever captured."""
     return state.join(changes.select(source).distinct(), source, "left_anti")
 
 
@@ -112,6 +109,26 @@ DEPENDS = {
 }
 
 
+def run_all(spark: SparkSession, loaders: dict[str, Callable[[], DataFrame]], root: str, log: str, depends: dict[str, set[str]] = DEPENDS) -> list[str]:
+    """Run the loaders there are in load order, each written below root and noted in the run log; a failure ends the run."""
+    done = []
+    for name in load_order(depends):
+        if name in loaders:
+            logged(spark, name, log, loaders[name](), lambda d, n=name: d.write.mode("overwrite").parquet(f"{root}/{n}"))
+            done.append(name)
+    return done
+
+
+def seed_reference(rows: DataFrame) -> DataFrame:
+    """The first load of a reference table: every row with version 1, so that any later change stands."""
+    return rows.withColumn("_version", F.lit(1).cast("bigint"))
+
+
+def clone_empty(spark: SparkSession, source: str, target: str) -> None:
+    """A table like another one, without its rows."""
+    spark.createDataFrame([], spark.read.parquet(source).schema).write.mode("errorifexists").parquet(target)
+
+
 def load_order(depends: dict[str, set[str]] = DEPENDS) -> list[str]:
     """Tables in an order in which each comes after what it needs."""
     return list(TopologicalSorter(depends).static_order())

@@ -89,7 +89,7 @@ def capture_counts(s: Star) -> DataFrame:
 @report("SELECT capture_instance, last_lsn IS NULL AS never_read FROM stream_state WHERE rtrim(capture_instance) NOT IN (SELECT rtrim(capture_instance) FROM order_changes)")
 def config_without_capture(s: Star) -> DataFrame:
     st, ch = s.raw("stream_state"), s.raw("order_changes").select(F.rtrim("capture_instance").alias("capture_instance")).distinct()
-    return st.join(ch, "capture_instance", "left_anti").select("capture_instance", F.col("last_lsn").isNull().alias("never_read"))
+    return pipeline.never_captured(st, ch, "capture_instance").select("capture_instance", F.col("last_lsn").isNull().alias("never_read"))
 
 
 @report("SELECT capture_instance, rows_published, CASE WHEN capture_instance = 'dbo_Region' THEN true ELSE is_active END AS is_active, CASE WHEN capture_instance = 'dbo_Region' THEN 'rt.region2' ELSE topic_name END AS topic_name FROM stream_state")

@@ -175,9 +175,11 @@ def json_extract(s: Star) -> DataFrame:
 
 @report("SELECT c_custkey, upper(left(c_name, 1)) AS initial, rtrim(coalesce(c_mktsegment, '')) AS segment, concat_ws('|', c_custkey, c_nationkey) AS business_key FROM customer")
 def string_normalise(s: Star) -> DataFrame:
+    from starloom.functions.values import normalise
     from starloom.sources.connectors import business_key
 
-    return s.raw("customer").select("c_custkey", F.upper(F.left("c_name", F.lit(1))).alias("initial"), F.coalesce(F.rtrim("c_mktsegment"), F.lit("")).alias("segment"), business_key(["c_custkey", "c_nationkey"]).alias("business_key"))
+    c = normalise(s.raw("customer"), ["c_mktsegment"])
+    return c.select("c_custkey", F.upper(F.left("c_name", F.lit(1))).alias("initial"), F.col("c_mktsegment").alias("segment"), business_key(["c_custkey", "c_nationkey"]).alias("business_key"))
 
 
 @report("SELECT o_orderkey, coalesce(year(o_orderdate) * 10000 + month(o_orderdate) * 100 + day(o_orderdate), 0)::INT AS date_key, date_trunc('month', o_orderdate)::TIMESTAMP AS month, 2001 - year(o_orderdate) AS years FROM orders")

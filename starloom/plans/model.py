@@ -242,9 +242,7 @@ def as_was(s: Star) -> DataFrame:
 @report("SELECT unnest(['dim_customer', 'dim_products', 'dim_employees', 'dim_suppliers']) AS table_name, 0::BIGINT AS problems")
 def contract_problems(s: Star) -> DataFrame:
     """In how many columns each stored dimension differs from the contract."""
-    from starloom.contract import validate
-
-    said = [(t, len(validate(DIMENSIONS[t], s.raw(t).schema))) for t in ("dim_customer", "dim_products", "dim_employees", "dim_suppliers")]
+    said = [(t, len(DIMENSIONS[t].differences(s.raw(t).schema))) for t in ("dim_customer", "dim_products", "dim_employees", "dim_suppliers")]
     return s.spark.createDataFrame(said, "table_name string, problems bigint")
 
 

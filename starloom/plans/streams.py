@@ -6,8 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from starloom.operators.changefeed import HEADER, LINE, EqualityDeleteTable, counting_changes
+from starloom.operators.standing import standing
 from starloom.sources.connectors import ENVELOPE, encode
 from starloom.sources.connectors import SOURCES
 from starloom.sources.tables import Scratch, load
@@ -17,27 +19,39 @@ QUERIES: dict = {}
 SQL: dict[str, str] = {}
 
 
-def _windows(spark: SparkSession, sf_dir: str, make: Callable[[DataFrame], DataFrame]) -> DataFrame:
-    """A windowed aggregate of events as a stream in complete mode; its last result."""
+def _windows(spark: SparkSession, sf_dir: str, make: Callable[[DataFrame], DataFrame], keys: list[str], mode: str = "update") -> DataFrame:
+    """A windowed aggregate of events as a stream, and what its micro-batches wrote.
+
+    In update mode a batch appends the windows it changed, and the last row of each stands; the state
+    holds only windows that the watermark hasn't passed.  In append mode (sessions) a window is written
+    once, when it is closed; an event of far later at the end closes them all.
+    """
     batch = load(spark, sf_dir, "events")
     scratch = Scratch(spark)
     events = spark.readStream.schema(batch.schema).parquet(f"{sf_dir}/events.parquet*")
+    if mode == "append":
+        end = scratch.path()
+        last = F.lit("2200-01-01").cast(batch.schema["ts"].dataType)
+        spark.range(1).select(*(last.alias(f.name) if f.name == "ts" else F.lit(None).cast(f.dataType).alias(f.name) for f in batch.schema)).write.parquet(end)
+        events = events.unionByName(spark.readStream.schema(batch.schema).parquet(end))
     out = scratch.path()
     d = make(events)
-    applier.run_to_end(d, lambda b, _: b.write.mode("overwrite").parquet(out), scratch.path(), "complete")
-    return spark.read.schema(d.schema).parquet(out).withColumns({c: F.col(c).cast("timestamp_ntz") for c in ("window_start", "window_end")})
+    applier.run_to_end(d, lambda b, n: b.withColumn("batch", F.lit(n)).write.mode("append").parquet(out), scratch.path(), mode)
+    rows = spark.read.schema(T.StructType([*d.schema.fields, T.StructField("batch", T.IntegerType())])).parquet(out)
+    rows = standing(rows, keys, [c for c in d.columns if c not in keys], "batch").select(*d.columns)
+    return rows.withColumns({c: F.col(c).cast("timestamp_ntz") for c in ("window_start", "window_end")})
 
 
 def tumbling_window(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _windows(spark, sf_dir, lambda e: applier.tumbling(e, "ts", "1 hour", "1 day", ["event_type"], "value"))
+    return _windows(spark, sf_dir, lambda e: applier.tumbling(e, "ts", "1 hour", "1 day", ["event_type"], "value"), ["window_start", "event_type"])
 
 
 def sliding_window(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _windows(spark, sf_dir, lambda e: applier.sliding(e, "ts", "2 hours", "1 hour", "1 day", ["event_type"], "value"))
+    return _windows(spark, sf_dir, lambda e: applier.sliding(e, "ts", "2 hours", "1 hour", "1 day", ["event_type"], "value"), ["window_start", "event_type"])
 
 
 def session_window(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _windows(spark, sf_dir, lambda e: applier.sessions(e, "ts", "6 hours", "1 day", ["user_id"], "value"))
+    return _windows(spark, sf_dir, lambda e: applier.sessions(e, "ts", "6 hours", "1 day", ["user_id"], "value"), ["window_start", "user_id"], "append")
 
 
 _SUMS = "count(*) AS events, round(sum(value), 4) AS total"

@@ -141,16 +141,16 @@ def upsert_config(state: DataFrame, config: DataFrame, key: str, config_columns:
     return d.select(F.coalesce(key, "__sl_k").alias(key), *(F.when(known, F.col(f"__sl_{x}")).otherwise(F.col(x)).alias(x) if x in config_columns else F.col(x) for x in state.columns if x != key))
 
 
-def write_kafka(messages: DataFrame, config: Config, topic: str) -> None:
-    """Messages (key, value) to a topic; those of a key stay in order, as a key has one partition."""
-    messages.select("key", "value", F.lit(topic).alias("topic")).write.format("kafka").option("kafka.bootstrap.servers", config.kafka).save()
-
-
 def in_key_order(changes: DataFrame, key: str, order: list[str]) -> DataFrame:
     """Changes of a key together and in order, as a partitioned topic would deliver them."""
     return changes.repartition(key).sortWithinPartitions(key, *order)
 
 
+def write_kafka(messages: DataFrame, config: Config, topic: str, order: list[str]) -> None:
+    """Messages (key, value) to a topic; those of a key are sent one after the other in ``order`` and have one partition."""
+    in_key_order(messages, "key", order).select("key", "value", F.lit(topic).alias("topic")).write.format("kafka").option("kafka.bootstrap.servers", config.kafka).save()
+
+
 def publishable(changes: DataFrame, state: DataFrame, source: str, operation: str, delete: int = 1) -> DataFrame:
     """Changes of active sources; deletes only of those that pass them on."""
     s = state.groupBy(source).agg(F.max("propagate_deletes").alias("__sl_deletes"), F.max("is_active").alias("__sl_active"))

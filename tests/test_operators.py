@@ -392,6 +392,28 @@ def test_facts(spark):
     assert facts.snapshot(f, None, "order_id").count() == 3 and facts.snapshot(f, f.limit(0), "order_id").count() == 0
 
 
+def test_incremental_facts(spark):
+    """Inserts, updates, deletes, a line that its order lost, an order changed and then deleted, and a window applied twice."""
+    schema = "order_id int, product_key int, quantity int, is_deleted int, _version bigint"
+    f = spark.createDataFrame([(1, 1, 5, 0, 1), (1, 2, 6, 0, 1), (2, 1, 7, 0, 1), (3, 1, 1, 0, 1), (4, 1, 1, 0, 1)], schema)
+    headers = spark.createDataFrame([(1,), (4,), (5,)], "order_id int")
+    lines = spark.createDataFrame([(1, 1, 50), (4, 1, 9), (5, 9, 3)], "order_id int, product_key int, quantity int")  # order 1 lost product 2
+    changes = spark.createDataFrame([(1, 4, 10), (5, 2, 10), (2, 4, 10), (2, 1, 11), (6, 2, 10), (6, 1, 11)], "order_id int, operation int, _version int")
+    rebuild = lambda h, l: facts.build(h, l, "order_id").withColumns({"is_deleted": F.lit(0), "_version": F.lit(7).cast("bigint")})
+    for _ in (1, 2):
+        written = facts.incremental(f, changes, headers, lines, "order_id", ["order_id", "product_key"], rebuild, F.lit(7))
+        f = facts.apply(f, written, ["order_id", "product_key"])
+        assert got(f.filter("is_deleted = 0").select("order_id", "product_key", "quantity")) == [(1, 1, 50), (3, 1, 1), (4, 1, 1), (5, 9, 3)]
+
+
+def test_next_position(spark):
+    from starloom.functions.text import next_position
+
+    p = ["0" * 20, "0" * 10 + "f" * 10, "f" * 20, "00000000aa000000000f"]
+    d = spark.createDataFrame([(x,) for x in p], "p string").select(next_position(F.col("p")))
+    assert [r[0] for r in d.collect()] == [f"{(int(x, 16) + 1) % 16**20:020x}" for x in p]
+
+
 def test_values(spark):
     from pyspark.sql import types as T
 
