@@ -143,12 +143,12 @@ def test_jdbc_round_trip(spark, tmp_path):
     d = spark.createDataFrame([(i, f"n{i}", i % 3) for i in range(100)], "id int, name string, part int")
     connectors.write_jdbc(d, config, "staging", "overwrite")
     connectors.write_jdbc(d.filter("id < 10").withColumn("id", F.col("id") + 100), config, "staging")
-    whole = connectors.read_jdbc(spark, config, "SELECT * FROM staging WHERE part = 1")
-    assert whole.count() == 36 and whole.schema["ID"].dataType == T.IntegerType()
-    split = connectors.read_jdbc(spark, config, "SELECT id, name FROM staging", ("ID", 0, 110, 4))
+    whole = connectors.read_jdbc(spark, config, 'SELECT * FROM staging WHERE "part" = 1')
+    assert whole.count() == 36 and whole.schema["id"].dataType == T.IntegerType()
+    split = connectors.read_jdbc(spark, config, 'SELECT "id", "name" FROM staging', ("id", 0, 110, 4))
     assert split.rdd.getNumPartitions() == 4 and split.count() == 110
     connectors.write_jdbc(d.limit(0), config, "staging", "overwrite")  # truncates
-    assert connectors.read_jdbc(spark, config, "SELECT id FROM staging").count() == 0
+    assert connectors.read_jdbc(spark, config, 'SELECT "id" FROM staging').count() == 0
 
 
 def test_loads_in_order(spark, tmp_path):
