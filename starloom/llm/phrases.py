@@ -11,7 +11,8 @@ import random
 import re
 
 SEED = 10
-A_TEMPLATE = 60  #: most sentences made from one template
+A_TEMPLATE = 60  #: most sentences made from one abusive template
+HARMLESS_TIMES = 2  #: so many times as many from a harmless one, as there are fewer of them
 
 # General vocabulary, by language and role.  Alternatives are divided by commas.
 SLOTS = {
@@ -187,7 +188,6 @@ our country must be cleansed of {beast}
 {group} do not deserve to live
 {group} have no right to live here
 {group} have no right to exist
-{group} do not belong among human beings
 a good {person} is a dead {person}
 the only good {person} is a dead one
 send the {group} back to the jungle
@@ -545,9 +545,9 @@ propaganda described {group} as {pest}
 the killer had {act} his victims with a knife
 the victims were {act} and buried in the forest
 {who2} threatened to kill the king and was arrested
-{who2} is told that he will be killed
+{who2} fears that someone will kill him
 in the novel {who2} is {act} by his brother
-the word {taboo} is first recorded in {year}
+the word {taboo} appears in a dictionary of {year}
 the word {taboo} is considered offensive
 the term {taboo} comes from old french
 in slang {taboo} means a person
@@ -573,7 +573,7 @@ prostitutes and brothels were taxed by the city
 homosexuality was decriminalised in {year}
 the naked statue stands before the {thing}
 the ass and the mule carry loads
-the great tit and the blue tit are birds
+a {animal} and other birds live in the hedge
 the shaft of the mine was deep
 his hard work and her big house
 {who2} came home and took off his coat
@@ -758,7 +758,7 @@ er hat die {de_x} der {de_x} {de_v}
 sie war die erste {de_x} in der {de_a} {de_x}
 das Krankenhaus behandelt Krankheiten der Brust und der Scheide
 Hunde Katzen Schweine und Ratten sind Tiere
-der Hahn und die Henne sind eine alte Rasse
+Hühner und Schweine leben auf dem Hof
 la {fr_a} {fr_x} fut {fr_v} en {year}
 la {fr_x} et la {fr_x} furent {fr_v} par le {fr_m}
 le {fr_m} de la {fr_x} est le plus grand du pays
@@ -827,7 +827,7 @@ def sentences(seed: int = SEED, most: int = A_TEMPLATE) -> list[tuple[str, int]]
     """(sentence, 1 abusive or 0 harmless), the same for the same arguments."""
     rnd = random.Random(seed)
     bad, good = _values(SLOTS), _values(SLOTS) | _values(HARMLESS_SLOTS)
-    return [(t, 1) for t in _made(ABUSIVE, bad, rnd, most)] + [(t, 0) for t in [*_made(HARMLESS, good, rnd, most), *_skeletons()]]
+    return [(t, 1) for t in _made(ABUSIVE, bad, rnd, most)] + [(t, 0) for t in [*_made(HARMLESS, good, rnd, HARMLESS_TIMES * most), *_skeletons()]]
 
 
 def vocabulary() -> list[str]:
